@@ -1,0 +1,91 @@
+"""Exact and approximate retrieval against brute force."""
+
+import numpy as np
+import pytest
+
+from corvane.operators import knn
+
+DIM = 8
+SCHEMA = "s3_key string, chunk_index int, embedding array<float>"
+
+
+@pytest.fixture(scope="module")
+def data(spark):
+    """600 rows, a third of them copies of one vector, and unusable ones."""
+    rng = np.random.default_rng(7)
+    centres = rng.normal(size=(6, DIM))
+    vectors = [centres[i % 6] + 0.2 * rng.normal(size=DIM) for i in range(400)]
+    vectors += [vectors[0]] * 200
+    rows = [(f"k{i // 3}", i % 3, [float(x) for x in np.float32(v)]) for i, v in enumerate(vectors)]
+    odd = [("zero", 0, [0.0] * DIM), ("short", 0, [1.0]), ("none", 0, None)]
+    asked = [(i, [float(x) for x in np.float32(rng.normal(size=DIM))]) for i in range(40)]
+    asked += [(100 + i, rows[0][2]) for i in range(20)]
+    blank = [(900, [0.0] * DIM), (901, None)]
+    index = spark.createDataFrame(rows + odd, SCHEMA).repartition(5).cache()
+    questions = spark.createDataFrame(asked + blank, "question_id long, vector array<float>").cache()
+    return index, questions, rows, asked
+
+
+def brute_force(rows, asked, k):
+    matrix = np.array([r[2] for r in rows])
+    matrix /= np.linalg.norm(matrix, axis=1, keepdims=True)
+    hits = set()
+    for qid, vector in asked:
+        q = np.array(vector) / np.linalg.norm(vector)
+        best = sorted((-round(float(s), 9), r[0], r[1]) for s, r in zip(matrix @ q, rows))[:k]
+        hits |= {(qid, i + 1, key, c, round(-s, 6)) for i, (s, key, c) in enumerate(best)}
+    return hits
+
+
+def found(df):
+    return {(r[0], r[1], r[2], r[3], round(r[4], 6)) for r in df.collect()}
+
+
+@pytest.mark.parametrize("k", [1, 5])
+def test_broadcast_equals_brute_force(data, k):
+    index, questions, rows, asked = data
+    assert found(knn.broadcast_topk(questions, index, k, DIM)) == brute_force(rows, asked, k)
+
+
+def test_more_hits_wanted_than_there_are(data, spark):
+    _, questions, rows, asked = data
+    few = spark.createDataFrame(rows[:3], SCHEMA)
+    assert found(knn.knn_topk(questions, few, 5)) == brute_force(rows[:3], asked, 5)
+
+
+@pytest.mark.parametrize("small_blocks", [False, True])
+def test_cells_give_the_exact_answer(data, monkeypatch, small_blocks):
+    index, questions, rows, asked = data
+    if small_blocks:
+        monkeypatch.setattr(knn, "ROWS_PER_BLOCK", 20)
+        monkeypatch.setattr(knn, "QUESTIONS_PER_BLOCK", 7)
+    cells = knn.build_cells(index, pivots=12, dim=DIM)
+    assert cells.counts.sum() == len(rows)
+    assert found(knn.pruned_topk(questions, cells, 5, ef_search=10)) == brute_force(rows, asked, 5)
+
+
+def test_approximate_recall(data):
+    index, questions, rows, asked = data
+    cells = knn.build_cells(index, pivots=12, dim=DIM)
+    near = {h[:1] + h[2:4] for h in found(knn.approximate_topk(questions, cells, 5, ef_search=200))}
+    exact = {h[:1] + h[2:4] for h in brute_force(rows, asked, 5)}
+    assert len(near & exact) / len(exact) > 0.8
+
+
+def test_large_question_sets_go_by_cells(data, monkeypatch):
+    index, questions, rows, asked = data
+    monkeypatch.setattr(knn, "QUESTION_BYTES", 8 * DIM * 10)
+    assert not knn.questions_fit(questions, DIM)
+    assert found(knn.knn_topk(questions, index, 3)) == brute_force(rows, asked, 3)
+
+
+def test_no_usable_question(data, spark):
+    index = data[0]
+    none = spark.createDataFrame([(1, None)], "question_id long, vector array<float>")
+    assert knn.knn_topk(none, index, 3).count() == 0
+
+
+def test_dimension_check(data):
+    index = data[0]
+    wrong = knn.dimension_check(index, DIM).filter("not coalesce(matches, false)")
+    assert {r.s3_key for r in wrong.collect()} == {"short", "none"}
