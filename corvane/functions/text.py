@@ -83,14 +83,20 @@ def chunk_starts(sizes: Column, min_tokens: int, max_tokens: int) -> Column:
     return F.aggregate(sizes, start, step, lambda state: state["starts"])
 
 
+def join_chunk(sentences: Column, starts: Column, i: Column) -> Column:
+    """The text of chunk ``i``, null if there is no such chunk."""
+    start = F.get(starts, i)
+    stop = F.coalesce(F.get(starts, i + 1), F.size(sentences))
+    members = F.slice(sentences, start + 1, stop - start)
+    return F.when(start.isNotNull(), F.array_join(members, " "))
+
+
 def join_chunks(sentences: Column, starts: Column) -> Column:
     """``array<struct<chunk_index, chunk_text>>`` from sentences and chunk starts."""
 
-    def chunk(start: Column, i: Column) -> Column:
-        stop = F.coalesce(F.get(starts, i + 1), F.size(sentences))
-        words = F.slice(sentences, start + 1, stop - start)
+    def chunk(_: Column, i: Column) -> Column:
         return F.struct(
-            i.alias("chunk_index"), F.array_join(words, " ").alias("chunk_text")
+            i.alias("chunk_index"), join_chunk(sentences, starts, i).alias("chunk_text")
         )
 
     return F.transform(starts, chunk)

@@ -61,3 +61,20 @@ def chunks_per_document(
     return _with_starts(documents, text, min_tokens, max_tokens, count).select(
         *keep, F.size("_starts").alias("chunks_created")
     )
+
+
+def chunk_text_at(
+    documents: DataFrame,
+    index: str = "chunk_index",
+    text: str = "text",
+    *,
+    min_tokens: int = fixed.CHUNK_MIN_TOKENS,
+    max_tokens: int = fixed.CHUNK_MAX_TOKENS,
+    count: tx.Counter = tx.token_count,
+) -> DataFrame:
+    """The text of the one chunk each row names, in place of the whole text."""
+    keep = [c for c in documents.columns if c != text]
+    return _with_starts(documents, text, min_tokens, max_tokens, count).select(
+        *keep,
+        tx.join_chunk(F.col("_sentences"), F.col("_starts"), F.col(index)).alias("chunk_text"),
+    )
