@@ -1,7 +1,9 @@
 """Column catalogue, required-field audit and what follows from them.
 
-Datasets are named DataFrames. Each is read once, only the columns asked for,
-and folds to a single row before anything else happens.
+Datasets are named DataFrames. Their rows are counted together in one grouping,
+which combines before its shuffle; of each dataset only the columns asked for
+are read. A marker row per dataset carries what its schema says, so an empty
+dataset is reported like any other.
 """
 
 from __future__ import annotations
@@ -9,36 +11,31 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corvane import fixed_values as fixed
 
 
-def _unpivot(df: DataFrame, dataset: str, rows: list[list[Column]], names: list[str]) -> DataFrame:
-    """One output row per entry, computed from a global aggregate of ``df``."""
-    entries = F.array(*[F.struct(*[c.alias(n) for c, n in zip(row, names)]) for row in rows])
-    return df.agg(entries.alias("entries")).select(
-        F.lit(dataset).alias("dataset_name"), F.inline_outer("entries")
-    )
-
-
-def _union(parts: Iterable[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, parts)
+def _first(datasets: Mapping[str, DataFrame]) -> DataFrame:
+    return next(iter(datasets.values()))
 
 
 def column_catalog(datasets: Mapping[str, DataFrame]) -> DataFrame:
-    """Every column of every dataset: its type, the dataset's rows, rows filled."""
-    names = ["column_name", "data_type", "row_count", "filled_count"]
-
-    def listing(dataset: str, df: DataFrame) -> DataFrame:
-        rows = [
-            [F.lit(name), F.lit(kind), F.count(F.lit(1)), F.count(F.col(f"`{name}`"))]
-            for name, kind in df.dtypes
-        ]
-        return _unpivot(df, dataset, rows, names)
-
-    return _union(listing(d, df) for d, df in datasets.items())
+    """Every column of every dataset with its type and the dataset's row count."""
+    listing = "dataset_name string, columns array<struct<column_name: string, data_type: string>>"
+    markers = _first(datasets).sparkSession.createDataFrame(
+        [(name, df.dtypes) for name, df in datasets.items()], listing
+    ).withColumn("row", F.lit(0))
+    columns = F.lit(None).cast(markers.schema["columns"].dataType).alias("columns")
+    rows = [
+        df.select(F.lit(name).alias("dataset_name"), columns, F.lit(1).alias("row"))
+        for name, df in datasets.items()
+    ]
+    counted = reduce(DataFrame.unionByName, rows, markers).groupBy("dataset_name").agg(
+        F.sum("row").alias("row_count"), F.any_value("columns", True).alias("columns")
+    )
+    return counted.select("dataset_name", "row_count", F.inline("columns"))
 
 
 def required_field_audit(
@@ -49,26 +46,47 @@ def required_field_audit(
     Presence goes by normalised column names, so normalise first.
     """
     required = list(required)
-    names = [
-        "column_name", "data_type", "is_required_field", "is_present", "row_count", "filled_count",
-    ]
+    numbers = range(len(required))
+    columns = {name: set(df.columns) for name, df in datasets.items()}
+    flags = ", ".join(f"present_{i} boolean" for i in numbers)
+    markers = _first(datasets).sparkSession.createDataFrame(
+        [(name, *[f in have for f in required]) for name, have in columns.items()],
+        f"dataset_name string, {flags}",
+    ).select(
+        "*", F.lit(0).alias("row"), *[F.lit(False).alias(f"filled_{i}") for i in numbers]
+    )
 
-    def audit(dataset: str, df: DataFrame) -> DataFrame:
-        have = set(df.columns)
-        rows = [
-            [
-                F.lit(field),
-                F.lit("STRING"),
-                F.lit(True),
-                F.lit(field in have),
-                F.count(F.lit(1)),
-                F.count(F.col(f"`{field}`") if field in have else F.lit(None)),
-            ]
-            for field in required
+    def rows(name: str, df: DataFrame) -> DataFrame:
+        filled = [
+            F.col(f"`{f}`").isNotNull() if f in columns[name] else F.lit(False) for f in required
         ]
-        return _unpivot(df, dataset, rows, names)
-
-    return _union(audit(d, df) for d, df in datasets.items())
+        return df.select(
+            F.lit(name).alias("dataset_name"),
+            F.lit(1).alias("row"),
+            *[F.lit(False).alias(f"present_{i}") for i in numbers],
+            *[filled[i].alias(f"filled_{i}") for i in numbers],
+        )
+
+    parts = [rows(name, df) for name, df in datasets.items()]
+    counted = reduce(DataFrame.unionByName, parts, markers).groupBy("dataset_name").agg(
+        F.sum("row").alias("row_count"),
+        *[F.max(f"present_{i}").alias(f"present_{i}") for i in numbers],
+        *[F.count_if(f"filled_{i}").alias(f"filled_{i}") for i in numbers],
+    )
+    entries = F.array(
+        *[
+            F.struct(
+                F.lit(required[i]).alias("column_name"),
+                F.lit("STRING").alias("data_type"),
+                F.lit(True).alias("is_required_field"),
+                F.col(f"present_{i}").alias("is_present"),
+                F.col("row_count").alias("row_count"),
+                F.col(f"filled_{i}").alias("filled_count"),
+            )
+            for i in numbers
+        ]
+    )
+    return counted.select("dataset_name", F.inline(entries))
 
 
 def missing_fields(metadata: DataFrame) -> DataFrame:

@@ -135,7 +135,7 @@ def l2_normalize(spark, sf_dir):
 
 @query
 def embedding_dim_check(spark, sf_dir):
-    return knn.dimension_check(given.vector_index(spark, sf_dir), 64)
+    return knn.dimension_check(given.vector_index(spark, sf_dir), given.dim(spark, sf_dir))
 
 
 @query
@@ -174,20 +174,22 @@ def embeddings_with_facts(spark, sf_dir):
 
 @query
 def knn_topk(spark, sf_dir):
-    hits = knn.knn_topk(given.questions(spark, sf_dir), given.vector_index(spark, sf_dir))
+    hits = knn.knn_topk(
+        given.questions(spark, sf_dir), given.vector_index(spark, sf_dir), dim=given.dim(spark, sf_dir)
+    )
     return hits.withColumn("score", F.round("score", 6))
 
 
 @query
 def knn_topk_pruned(spark, sf_dir):
-    cells = knn.build_cells(given.vector_index(spark, sf_dir), pivots=PIVOTS, dim=64)
+    cells = knn.build_cells(given.vector_index(spark, sf_dir), pivots=PIVOTS, dim=given.dim(spark, sf_dir))
     hits = knn.pruned_topk(given.questions(spark, sf_dir), cells)
     return hits.withColumn("score", F.round("score", 6))
 
 
 @query
 def knn_approx(spark, sf_dir):
-    cells = knn.build_cells(given.vector_index(spark, sf_dir), pivots=PIVOTS, dim=64)
+    cells = knn.build_cells(given.vector_index(spark, sf_dir), pivots=PIVOTS, dim=given.dim(spark, sf_dir))
     hits = knn.approximate_topk(given.questions(spark, sf_dir), cells)
     return hits.withColumn("score", F.round("score", 6))
 
@@ -198,6 +200,7 @@ def _evidence(spark, sf_dir) -> DataFrame:
             given.questions(spark, sf_dir),
             given.vector_index(spark, sf_dir),
             given.documents(spark, sf_dir),
+            dim=given.dim(spark, sf_dir),
         )
     )
 
@@ -308,6 +311,7 @@ def _answers(spark, sf_dir) -> DataFrame:
         given.vector_index(spark, sf_dir),
         given.documents(spark, sf_dir),
         _facts(spark, sf_dir),
+        dim=given.dim(spark, sf_dir),
     )
 
 
@@ -342,7 +346,7 @@ def run_outcomes(spark, sf_dir):
 
 @query
 def run_report(spark, sf_dir):
-    summary = flat(cost_plans.cost_summary(given.calls(spark, sf_dir)))
+    summary = cost_plans.cost_summary(given.calls(spark, sf_dir))
     return answers.run_report(_answers(spark, sf_dir), summary)
 
 

@@ -11,9 +11,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvane import fixed_values as fixed
 from corvane.operators.audit import column_catalog, required_field_audit
+from corvane.operators.knn import dimension
 from corvane.operators.metrics import customer_metrics
+from corvane.session import fresh_path
+from corvane.sinks.tables import calls_from_texts
 from corvane.sources.files import spread
 
 TABLE_NAMES = (
@@ -44,7 +46,7 @@ STATEMENTS = {
     "average": "SELECT CAST(AVG(CAST(churn_rate AS DOUBLE)) AS DECIMAL(6,4)) AS avg_churn FROM customer_metrics",
     "last": "SELECT MAX_BY(churned_customers, metric_date) AS churned FROM customer_metrics",
     "datasets": "SELECT DISTINCT dataset_name FROM glue_catalog_metadata",
-    "total": "SELECT SUM(total_customers) AS total FROM customer_metrics",
+    "total": "SELECT CAST(SUM(total_customers) AS BIGINT) AS total FROM customer_metrics",
     "missing": "SELECT dataset_name, column_name FROM glue_catalog_metadata WHERE is_present = false",
     "high": "SELECT COUNT(*) AS n FROM customer_metrics WHERE churn_rate > 0.1;",
 }
@@ -127,6 +129,11 @@ def vector_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def dim(spark: SparkSession, sf_dir: str) -> int:
+    """The dimension of the given vectors."""
+    return dimension(table(spark, sf_dir, "embeddings"), "embedding")
+
+
 def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One question per conversation with its vector and a model's two replies."""
     asked = table(spark, sf_dir, "conversations").select("conv_id").distinct()
@@ -158,8 +165,6 @@ def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from corvane.sinks.tables import calls_from_texts
-
     return calls_from_texts(table(spark, sf_dir, "conversations"))
 
 
@@ -203,9 +208,18 @@ def uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def register_warehouse(spark: SparkSession, sf_dir: str) -> None:
-    """The warehouse tables as views, for guarded statements."""
-    metrics(spark, sf_dir).createOrReplaceTempView("customer_metrics")
-    metadata(spark, sf_dir).createOrReplaceTempView("glue_catalog_metadata")
+    """The warehouse tables as views, for guarded statements.
+
+    The two small ones, a row per date and a row per audited field, are loaded
+    into the shared folder first, as the structured path would have done.
+    """
+    for name, df in (
+        ("customer_metrics", metrics(spark, sf_dir)),
+        ("glue_catalog_metadata", metadata(spark, sf_dir)),
+    ):
+        path = fresh_path(spark, name)
+        df.coalesce(1).write.parquet(path)
+        spark.read.schema(df.schema).parquet(path).createOrReplaceTempView(name)
     vector_index(spark, sf_dir).createOrReplaceTempView("document_embeddings")
     rows = table(spark, sf_dir, "events")
     rows.select(

@@ -44,13 +44,13 @@ def found(df):
 @pytest.mark.parametrize("k", [1, 5])
 def test_broadcast_equals_brute_force(data, k):
     index, questions, rows, asked = data
-    assert found(knn.broadcast_topk(questions, index, k, DIM)) == brute_force(rows, asked, k)
+    assert found(knn.knn_topk(questions, index, k, dim=DIM)) == brute_force(rows, asked, k)
 
 
 def test_more_hits_wanted_than_there_are(data, spark):
     _, questions, rows, asked = data
     few = spark.createDataFrame(rows[:3], SCHEMA)
-    assert found(knn.knn_topk(questions, few, 5)) == brute_force(rows[:3], asked, 5)
+    assert found(knn.knn_topk(questions, few, 5, dim=DIM)) == brute_force(rows[:3], asked, 5)
 
 
 @pytest.mark.parametrize("small_blocks", [False, True])
@@ -75,14 +75,15 @@ def test_approximate_recall(data):
 def test_large_question_sets_go_by_cells(data, monkeypatch):
     index, questions, rows, asked = data
     monkeypatch.setattr(knn, "QUESTION_BYTES", 8 * DIM * 10)
-    assert not knn.questions_fit(questions, DIM)
-    assert found(knn.knn_topk(questions, index, 3)) == brute_force(rows, asked, 3)
+    hits, small = knn.search(questions, index, 3, dim=DIM)
+    assert not small
+    assert found(hits) == brute_force(rows, asked, 3)
 
 
 def test_no_usable_question(data, spark):
     index = data[0]
     none = spark.createDataFrame([(1, None)], "question_id long, vector array<float>")
-    assert knn.knn_topk(none, index, 3).count() == 0
+    assert knn.knn_topk(none, index, 3, dim=DIM).count() == 0
 
 
 def test_dimension_check(data):
