@@ -2,21 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corvane import fixed_values as fixed
 from corvane.functions.costs import dollars, micro_dollars
 
 
-def _totals() -> list[Column]:
+def _by_type(calls: DataFrame) -> DataFrame:
     cost = micro_dollars(F.col("input_tokens"), F.col("output_tokens"))
-    return [
+    return calls.groupBy("call_type").agg(
         F.count(F.lit(1)).alias("calls"),
         F.coalesce(F.sum("input_tokens"), F.lit(0)).alias("input_tokens"),
         F.coalesce(F.sum("output_tokens"), F.lit(0)).alias("output_tokens"),
         F.coalesce(F.sum(cost), F.lit(0)).alias("micro"),
-    ]
+    )
 
 
 def call_cost(calls: DataFrame) -> DataFrame:
@@ -25,7 +25,7 @@ def call_cost(calls: DataFrame) -> DataFrame:
 
 
 def cost_by_type(calls: DataFrame) -> DataFrame:
-    return calls.groupBy("call_type").agg(*_totals()).select(
+    return _by_type(calls).select(
         "call_type", "calls", "input_tokens", "output_tokens", dollars(F.col("micro")).alias("cost_usd")
     )
 
@@ -33,14 +33,22 @@ def cost_by_type(calls: DataFrame) -> DataFrame:
 def cost_summary(calls: DataFrame) -> DataFrame:
     """Costs per call type and, where ``is_total``, over all of them.
 
-    One pass: a rollup. An empty log still has its total row, all zeros.
+    The total sums the types, whose shuffle is reused, so the log is read once.
+    Unlike a rollup's, it is there for an empty log too, all zeros.
     """
+    by_type = _by_type(calls)
+    sums = [
+        F.coalesce(F.sum(c), F.lit(0)).alias(c)
+        for c in ("calls", "input_tokens", "output_tokens", "micro")
+    ]
+    total = by_type.agg(*sums).select(F.lit(None).cast("string").alias("call_type"), "*")
+    rows = by_type.withColumn("is_total", F.lit(False)).unionByName(
+        total.withColumn("is_total", F.lit(True))
+    )
     average = F.coalesce(
         F.try_divide(dollars(F.col("micro")), F.col("calls").cast("decimal(20,0)")), F.lit(0)
     )
-    return calls.rollup("call_type").agg(
-        *_totals(), (F.grouping("call_type") == 1).alias("is_total")
-    ).select(
+    return rows.select(
         "is_total",
         "call_type",
         "calls",

@@ -30,13 +30,15 @@ def stamp(df: DataFrame) -> DataFrame:
 
 
 def coerce_types(
-    df: DataFrame, schema: T.StructType, failures: str = "coercion_failures"
+    df: DataFrame, schema: T.StructType | str, failures: str = "coercion_failures"
 ) -> DataFrame:
     """Text columns as the declared types, and how many of a row's values failed.
 
     A value that does not parse becomes null and counts; a blank one becomes
     null and does not.
     """
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
 
     def cleaned(field: T.StructField) -> Column:
         return strip(F.col(f"`{field.name}`").cast("string"))

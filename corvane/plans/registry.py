@@ -27,9 +27,7 @@ from corvane.streaming import ingest
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-EVENT_TYPES = T.StructType.fromDDL(
-    "event_id bigint, user_id bigint, event__type string, value double"
-)
+EVENT_TYPES = "event_id bigint, user_id bigint, event__type string, value double"
 PIVOTS = 16
 
 
@@ -587,7 +585,7 @@ def stream_documents(spark, sf_dir):
     ingest.document_stream(texts, store, f"{root}/checkpoint").awaitTermination()
     documents_schema = ingest.table_schema("documents")
     parents = sinks.read_keyed(spark, store.documents, documents_schema).filter("s3_key is not null")
-    chunks = sinks.read_keyed(spark, store.chunks, ingest.CHUNKS).filter("s3_key is not null")
+    chunks = sinks.read_keyed(spark, store.chunks, ingest.chunk_schema()).filter("s3_key is not null")
     per_document = chunks.groupBy("s3_key").agg(
         F.count(F.lit(1)).alias("chunks"), F.sum("token_count").alias("tokens")
     )
@@ -610,7 +608,7 @@ def stream_structured(spark, sf_dir):
             F.concat(F.lit(" "), F.col("value").cast("string")).alias("Value"),
         )
     )
-    types = T.StructType.fromDDL("record_id bigint, source_system string, value double")
+    types = "record_id bigint, source_system string, value double"
     ingest.structured_stream(
         rows, root, f"{root}/checkpoint", "events.json", "json", types=types
     ).awaitTermination()

@@ -8,10 +8,10 @@ from pyspark.sql import types as T
 
 from corvane.functions.keys import upload_handler, upload_type
 
-UPLOAD_EVENT = T.StructType.fromDDL(
+UPLOAD_EVENT = (
     "Records array<struct<s3: struct<bucket: struct<name: string>, object: struct<key: string>>>>"
 )
-EXTRACTION = T.StructType.fromDDL("Blocks array<struct<BlockType: string, Text: string>>")
+EXTRACTION = "Blocks array<struct<BlockType: string, Text: string>>"
 
 
 def scan_documents(spark: SparkSession, folder: str, *, stream: bool = False) -> DataFrame:
