@@ -404,7 +404,7 @@ def churn_trend(spark, sf_dir):
 
 @query
 def churn_vs_target(spark, sf_dir):
-    return metrics.churn_vs_target(given.metrics(spark, sf_dir), 0.1)
+    return metrics.churn_vs_target(given.metrics(spark, sf_dir), "0.1")
 
 
 @query
