@@ -1,12 +1,14 @@
 """Text columns: stripping, line assembly, token counts, sentences and chunks.
 
-All of it is built-in expressions, so text never leaves the JVM.
+All of it is built-in expressions, so text never leaves the JVM, unless the
+caller counts tokens with an encoder of its own.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,6 +24,7 @@ WHITESPACE = "".join(
 # The same set as a pattern: Unicode white space and the four separators it omits.
 SENTENCE_GAP = r"(?U)(?<=[.!?])[\s\x1c-\x1f]+"
 
+# From a column of texts, as an array, to their token counts.
 Counter = Callable[[Column], Column]
 
 
@@ -43,6 +46,22 @@ def token_count(text: Column) -> Column:
     )
 
 
+def heuristic_counts(texts: Column) -> Column:
+    return F.transform(texts, token_count)
+
+
+def encoder_counts(load: Callable[[], Callable[[str], list]]) -> Counter:
+    """Counts by an encoder, such as a BPE one, that each Python worker loads once."""
+
+    @F.pandas_udf("array<int>")
+    def counts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        encode = load()
+        for texts in batches:
+            yield texts.map(lambda row: [len(encode(text)) for text in row])
+
+    return counts
+
+
 def split_sentences(text: Column) -> Column:
     """Sentences of a text; blank or null text has none.
 

@@ -12,9 +12,10 @@ from corvane.functions import text as tx
 def _with_starts(
     documents: DataFrame, text: str, min_tokens: int, max_tokens: int, count: tx.Counter
 ) -> DataFrame:
-    sizes = F.transform(F.col("_sentences"), count)
-    return documents.withColumn("_sentences", tx.split_sentences(F.col(text))).withColumn(
-        "_starts", tx.chunk_starts(sizes, min_tokens, max_tokens)
+    return (
+        documents.withColumn("_sentences", tx.split_sentences(F.col(text)))
+        .withColumn("_sizes", count(F.col("_sentences")))
+        .withColumn("_starts", tx.chunk_starts(F.col("_sizes"), min_tokens, max_tokens))
     )
 
 
@@ -24,7 +25,7 @@ def chunk_documents(
     *,
     min_tokens: int = fixed.CHUNK_MIN_TOKENS,
     max_tokens: int = fixed.CHUNK_MAX_TOKENS,
-    count: tx.Counter = tx.token_count,
+    count: tx.Counter = tx.heuristic_counts,
 ) -> DataFrame:
     """One row per chunk: the other columns, chunk_index, chunk_text, token_count.
 
@@ -40,7 +41,7 @@ def chunk_documents(
         .withColumn("_chunks", chunks)
         .select(*keep, F.inline_outer("_chunks"))
         .filter(F.col("chunk_index").isNotNull())
-        .withColumn("token_count", count(F.col("chunk_text")))
+        .withColumn("token_count", F.get(count(F.array("chunk_text")), F.lit(0)))
     )
 
 
@@ -50,7 +51,7 @@ def chunks_per_document(
     *,
     min_tokens: int = fixed.CHUNK_MIN_TOKENS,
     max_tokens: int = fixed.CHUNK_MAX_TOKENS,
-    count: tx.Counter = tx.token_count,
+    count: tx.Counter = tx.heuristic_counts,
 ) -> DataFrame:
     """The other columns and ``chunks_created``, zero for blank documents.
 
@@ -70,7 +71,7 @@ def chunk_text_at(
     *,
     min_tokens: int = fixed.CHUNK_MIN_TOKENS,
     max_tokens: int = fixed.CHUNK_MAX_TOKENS,
-    count: tx.Counter = tx.token_count,
+    count: tx.Counter = tx.heuristic_counts,
 ) -> DataFrame:
     """The text of the one chunk each row names, in place of the whole text."""
     keep = [c for c in documents.columns if c != text]

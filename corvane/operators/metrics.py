@@ -38,7 +38,9 @@ def customer_metrics(
     with most of the rows is no hot spot, and no join is needed: who is due and
     not here has churned.
     """
-    date = F.to_date(F.date_trunc(period, F.col(time)))
+    date = F.to_date(time)
+    if period != "day":
+        date = F.trunc(date, period)
 
     def mark(when: Column, here: bool) -> Column:
         return F.struct(

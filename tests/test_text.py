@@ -14,7 +14,7 @@ def tokens(text):
     return max(1, len(text) // 4)
 
 
-def packed(text, low, high):
+def packed(text, low, high, tokens=tokens):
     """Chunks as lists of sentences: a chunk is left when the next sentence is
     oversized, when it was oversized itself, or when it is full."""
     chunks = []
@@ -108,3 +108,16 @@ def test_lines(spark):
     rows = [([("PAGE", None), ("LINE", "a"), ("WORD", "a"), ("LINE", "b c")],), ([("PAGE", "x")],), ([],)]
     df = spark.createDataFrame(rows, f"blocks {blocks}")
     assert [r[0] for r in df.select(tx.assemble_lines(F.col("blocks"))).collect()] == ["a\nb c", "", ""]
+
+
+def test_chunks_by_an_encoder(docs, texts):
+    """Counted in words: each worker loads the encoder, one token per word."""
+    rows = chunk_documents(docs, min_tokens=2, max_tokens=3, count=tx.encoder_counts(lambda: str.split)).collect()
+    got = {(r.doc, r.chunk_index): (r.chunk_text, r.token_count) for r in rows}
+
+    def words(text):
+        return len(text.split())
+
+    assert got == {
+        (d, i): (c, words(c)) for d, t in enumerate(texts) for i, c in enumerate(packed(t, 2, 3, words))
+    }
