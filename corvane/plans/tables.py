@@ -6,7 +6,8 @@ are the conversations, model calls their turns, and vectors ``embeddings``.
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from corvane.operators.audit import column_catalog, required_field_audit
 from corvane.operators.knn import dimension
 from corvane.operators.metrics import customer_metrics
-from corvane.session import fresh_path
+from corvane.session import fresh_path, side_by_side
 from corvane.sinks.tables import calls_from_texts
 from corvane.sources.files import spread
 
@@ -153,7 +154,8 @@ def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def given(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {name: table(spark, sf_dir, name) for name in TABLE_NAMES}
+    frames = side_by_side(spark, [partial(table, spark, sf_dir, name) for name in TABLE_NAMES])
+    return dict(zip(TABLE_NAMES, frames))
 
 
 def metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -213,13 +215,15 @@ def register_warehouse(spark: SparkSession, sf_dir: str) -> None:
     The two small ones, a row per date and a row per audited field, are loaded
     into the shared folder first, as the structured path would have done.
     """
-    for name, df in (
-        ("customer_metrics", metrics(spark, sf_dir)),
-        ("glue_catalog_metadata", metadata(spark, sf_dir)),
-    ):
-        path = fresh_path(spark, name)
+    def load(name: str, build: Callable[[SparkSession, str], DataFrame]) -> None:
+        df, path = build(spark, sf_dir), fresh_path(spark, name)
         df.coalesce(1).write.parquet(path)
         spark.read.schema(df.schema).parquet(path).createOrReplaceTempView(name)
+
+    side_by_side(
+        spark,
+        [partial(load, "customer_metrics", metrics), partial(load, "glue_catalog_metadata", metadata)],
+    )
     vector_index(spark, sf_dir).createOrReplaceTempView("document_embeddings")
     rows = table(spark, sf_dir, "events")
     rows.select(

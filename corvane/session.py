@@ -5,9 +5,15 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
+Result = TypeVar("Result")
+
 
 def local_session(cpus: int | str = 8, name: str = "corvane") -> SparkSession:
     """A single-JVM session; a cluster brings its own."""
@@ -49,3 +55,14 @@ def shared_dir(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that nothing has used yet."""
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def side_by_side(spark: SparkSession, actions: Iterable[Callable[[], Result]]) -> list[Result]:
+    """Results of a few independent actions, whose jobs share the cluster.
+
+    The first failure is raised once all have ended.
+    """
+    actions = list(actions)
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(a)) for a in actions]
+    return [r.result() for r in running]

@@ -110,7 +110,7 @@ def test_structured_stream(spark, tmp_path):
 def test_repeated_batch_replaces_itself(spark, tmp_path):
     rows = spark.createDataFrame([("1", "x")], "record_id string, source_system string")
     for _ in range(2):
-        ingest.load_structured(rows, str(tmp_path), "d", "json", batch_id=4)
+        assert ingest.load_structured(rows, str(tmp_path), "d", "json", batch_id=4) == 1
     ingest.load_structured(rows, str(tmp_path), "d", "json", batch_id=5)
     assert spark.read.parquet(f"{tmp_path}/structured_data").count() == 2
     assert spark.read.parquet(f"{tmp_path}/glue_catalog_metadata").count() == 6
