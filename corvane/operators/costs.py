@@ -62,7 +62,8 @@ def cost_summary(calls: DataFrame) -> DataFrame:
 
 
 def cost_report(calls: DataFrame) -> DataFrame:
-    """The summary as printable lines, the total last."""
+    """The summary as printable lines."""
+    # The layout of the lines.
     by_type = "  [%s] calls=%d input_tokens=%d output_tokens=%d cost=$%s"
     total = "  TOTAL: calls=%d input_tokens=%d output_tokens=%d cost=$%s (avg $%s/call)"
     numbers = ["calls", "input_tokens", "output_tokens"]

@@ -27,8 +27,7 @@ TABLE_NAMES = (
 # Required columns asked of the given tables: some have all, some a few, most none.
 WANTED = ("doc_id", "text", "lang")
 
-# The ten questions of a run, and the statement a model might reply to each
-# with: plain, fenced, tagged, and one the guard refuses.
+# The ten questions of a run.
 QUESTIONS = (
     "What is the average churn rate for Q3 2026?",
     "How many customers churned in the last recorded month?",
@@ -43,6 +42,9 @@ QUESTIONS = (
     "datasets missing required metadata fields (check against the Glue Catalog)?",
     "What is the churn rate trend compared to what our retention strategy targets?",
 )
+
+# Statements that answer them, and how a model might reply with one: plain,
+# fenced, tagged, and some the guard refuses.
 STATEMENTS = {
     "average": "SELECT CAST(AVG(CAST(churn_rate AS DOUBLE)) AS DECIMAL(6,4)) AS avg_churn FROM customer_metrics",
     "last": "SELECT MAX_BY(churned_customers, metric_date) AS churned FROM customer_metrics",
@@ -63,12 +65,15 @@ REPLIES = (
     STATEMENTS["missing"],
     "SELECT churn_rate FROM customer_metrics; DROP TABLE customer_metrics;",
 )
+
+# How a model might reply when asked for a route.
 ROUTE_REPLIES = (
     "BOTH", "Opensearch.", "**REDSHIFT**", "not both", "?", "REDSHIFT or OPENSEARCH",
     "redshift\n", "open search", "The answer is: both", "",
 )
 
-# Statements of the guard's own suite, then edge cases of its rules.
+# The statements the guard is tested with, and whether they pass;
+# then edge cases of its rules.
 GUARD_CASES = (
     ("SELECT * FROM customer_metrics WHERE churn_rate > 0.1", True),
     ("select dataset_name from glue_catalog_metadata where is_present = false", True),
