@@ -584,8 +584,8 @@ def stream_documents(spark, sf_dir):
     texts = uploads.select(given.s3_key().alias("s3_key"), F.lit("uploads").alias("source_bucket"), "text")
     ingest.document_stream(texts, store, f"{root}/checkpoint").awaitTermination()
     documents_schema = ingest.table_schema("documents")
-    parents = sinks.read_keyed(spark, store.documents, documents_schema).filter("s3_key is not null")
-    chunks = sinks.read_keyed(spark, store.chunks, ingest.chunk_schema()).filter("s3_key is not null")
+    parents = sinks.read_keyed(spark, store.documents, documents_schema)
+    chunks = sinks.read_keyed(spark, store.chunks, ingest.chunk_schema())
     per_document = chunks.groupBy("s3_key").agg(
         F.count(F.lit(1)).alias("chunks"), F.sum("token_count").alias("tokens")
     )

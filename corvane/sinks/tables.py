@@ -44,9 +44,11 @@ def replace_part(df: DataFrame, path: str, parts: list[str]) -> None:
     )
 
 
-def read_keyed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A keyed table without its bucket column; empty if nothing was written yet."""
-    return _read(spark, path, schema).drop("bucket")
+def read_keyed(
+    spark: SparkSession, path: str, schema: T.StructType, key: str = "s3_key"
+) -> DataFrame:
+    """A keyed table as its schema declares it; empty if nothing was written yet."""
+    return _read(spark, path, schema).filter(F.col(key).isNotNull()).drop("bucket")
 
 
 def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -83,8 +85,9 @@ def _rewrite(
     numbers = [r.bucket for r in touched.collect()]
     if not numbers:
         return
-    present = _read(spark, path, schema).filter(F.col("bucket").isin(numbers) & F.col(key).isNotNull())
-    changed = change(present.drop("bucket")).select(
+    stored = _read(spark, path, schema).filter(F.col("bucket").isin(numbers))
+    present = stored.filter(F.col(key).isNotNull()).drop("bucket")
+    changed = change(present).select(
         *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema]
     )
     blank = spark.createDataFrame([(n,) for n in numbers], "bucket int").select(

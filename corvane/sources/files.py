@@ -14,11 +14,21 @@ UPLOAD_EVENT = (
 EXTRACTION = "Blocks array<struct<BlockType: string, Text: string>>"
 
 
-def scan_documents(spark: SparkSession, folder: str, *, stream: bool = False) -> DataFrame:
+def _reader(spark: SparkSession, stream: bool, per_batch: int | None):
+    """A batch reader, or a stream's that takes at most so many files at a time."""
+    if not stream:
+        return spark.read
+    reader = spark.readStream
+    return reader.option("maxFilesPerTrigger", per_batch) if per_batch else reader
+
+
+def scan_documents(
+    spark: SparkSession, folder: str, *, stream: bool = False, per_batch: int | None = None
+) -> DataFrame:
     """PDF uploads below a folder: path, modificationTime, length, content."""
-    reader = spark.readStream if stream else spark.read
     return (
-        reader.format("binaryFile")
+        _reader(spark, stream, per_batch)
+        .format("binaryFile")
         .schema("path string, modificationTime timestamp, length bigint, content binary")
         .option("pathGlobFilter", "*.pdf")
         .option("recursiveFileLookup", "true")
@@ -27,19 +37,29 @@ def scan_documents(spark: SparkSession, folder: str, *, stream: bool = False) ->
 
 
 def scan_csv(
-    spark: SparkSession, folder: str, schema: T.StructType | None = None, *, stream: bool = False
+    spark: SparkSession,
+    folder: str,
+    schema: T.StructType | str | None = None,
+    *,
+    stream: bool = False,
+    per_batch: int | None = None,
 ) -> DataFrame:
     """CSV uploads with a header line; without a schema the types are inferred."""
-    reader = (spark.readStream if stream else spark.read).option("header", "true")
+    reader = _reader(spark, stream, per_batch).option("header", "true")
     reader = reader.schema(schema) if schema else reader.option("inferSchema", "true")
     return reader.csv(folder)
 
 
 def scan_json(
-    spark: SparkSession, folder: str, schema: T.StructType | None = None, *, stream: bool = False
+    spark: SparkSession,
+    folder: str,
+    schema: T.StructType | str | None = None,
+    *,
+    stream: bool = False,
+    per_batch: int | None = None,
 ) -> DataFrame:
     """JSON-lines uploads; without a schema it is inferred."""
-    reader = spark.readStream if stream else spark.read
+    reader = _reader(spark, stream, per_batch)
     return (reader.schema(schema) if schema else reader).json(folder)
 
 

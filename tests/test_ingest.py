@@ -31,12 +31,12 @@ def store(tmp_path):
 
 
 def stored_chunks(spark, store):
-    rows = sinks.read_keyed(spark, store.chunks, ingest.chunk_schema()).filter("s3_key is not null").collect()
+    rows = sinks.read_keyed(spark, store.chunks, ingest.chunk_schema()).collect()
     return sorted((r.s3_key, r.chunk_index, r.chunk_text) for r in rows)
 
 
 def run_documents(spark, folder, store):
-    uploads = files.scan_documents(spark, str(folder / "raw" / "pdf"), stream=True)
+    uploads = files.scan_documents(spark, str(folder / "raw" / "pdf"), stream=True, per_batch=1)
     texts = ingest.uploads_to_text(uploads, "uploads")
     ingest.document_stream(texts, store, f"{store.root}/checkpoint", **LIMITS).awaitTermination()
 
@@ -53,10 +53,17 @@ def test_document_stream_takes_new_files_only(spark, tmp_path, store):
     assert stored_chunks(spark, store) == sorted(first + [("raw/pdf/c/d.pdf", 0, "Ten.")])
     kept = sinks.read_keyed(spark, store.chunks, ingest.chunk_schema()).filter("s3_key like '%a.pdf'")
     assert kept.agg(F.max("created_at")).first()[0] == created
-    vectors = sinks.read_keyed(spark, store.vectors, table_schema("vector_index")).filter("s3_key is not null")
+    vectors = sinks.read_keyed(spark, store.vectors, table_schema("vector_index"))
     assert vectors.count() == 4 and vectors.select(F.size("embedding")).distinct().collect() == [(384,)]
 
 
+def test_batches_of_one_file_each(spark, tmp_path, store):
+    for name in "abc":
+        put_pdf(tmp_path, f"{name}.pdf", f"Text {name}.")
+    run_documents(spark, tmp_path, store)
+    assert [c[2] for c in stored_chunks(spark, store)] == ["Text a.", "Text b.", "Text c."]
+
+
 def test_reingestion_replaces(spark, store):
     def take(rows):
         texts = spark.createDataFrame([(k, "b", t) for k, t in rows], "s3_key string, source_bucket string, text string")
@@ -64,9 +71,9 @@ def test_reingestion_replaces(spark, store):
 
     schema = table_schema("documents")
     take([("k1", "One two three. Four five six."), ("k2", "Seven."), ("k3", "Eight.")])
-    before = {r.s3_key: r for r in sinks.read_keyed(spark, store.documents, schema).filter("s3_key is not null").collect()}
+    before = {r.s3_key: r for r in sinks.read_keyed(spark, store.documents, schema).collect()}
     take([("k1", "New."), ("k1", "New."), ("k2", ""), ("k4", "Nine.")])
-    after = {r.s3_key: r for r in sinks.read_keyed(spark, store.documents, schema).filter("s3_key is not null").collect()}
+    after = {r.s3_key: r for r in sinks.read_keyed(spark, store.documents, schema).collect()}
     assert set(after) == {"k1", "k2", "k3", "k4"}
     assert all(after[k] == before[k] for k in before)
     assert {c[0]: c[2] for c in stored_chunks(spark, store)} == {"k1": "New.", "k3": "Eight.", "k4": "Nine."}
