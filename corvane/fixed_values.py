@@ -1,10 +1,11 @@
 """Fixed values that results depend on: limits, labels, word lists, messages
 and prompt templates. Everything here is data, stated as text."""
 
-# Chunk limits in tokens, and characters per token of the heuristic counter.
+# Chunk limits in tokens; the heuristic counter's four characters per token, as a
+# shift by two bits.
 CHUNK_MIN_TOKENS = 500
 CHUNK_MAX_TOKENS = 1000
-CHARS_PER_TOKEN = 4
+TOKEN_SHIFT = 2
 
 # Retrieval defaults.
 TOP_K = 5

@@ -40,10 +40,11 @@ def assemble_lines(blocks: Column) -> Column:
 
 
 def token_count(text: Column) -> Column:
-    """Heuristic token count: one per four characters, at least one."""
-    return F.greatest(
-        F.lit(1), F.floor(F.length(text) / fixed.CHARS_PER_TOKEN).cast("int")
-    )
+    """Heuristic token count: one per four characters, at least one.
+
+    The shift is the integer division, without a detour over doubles.
+    """
+    return F.greatest(F.lit(1), F.shiftright(F.length(text), fixed.TOKEN_SHIFT))
 
 
 def heuristic_counts(texts: Column) -> Column:
@@ -77,26 +78,25 @@ def chunk_starts(sizes: Column, min_tokens: int, max_tokens: int) -> Column:
     """Positions of the sentences that open a chunk, from the sentence sizes.
 
     The fold carries the size of the open chunk, -1 if none is open. A sentence
-    opens a chunk when none is open, when it is oversized (it then stands alone
-    and leaves none open), or when it would overfill a chunk that has reached
-    the minimum. Only chunk starts are appended, so the fold stays linear.
+    stays in the open chunk if it fits, or if it is not oversized itself and the
+    chunk is below the minimum; any other opens a chunk, which an oversized one
+    closes again at once. Only chunk starts are appended, so the fold stays
+    linear; the commonest case is tested first.
     """
-    none_open = F.lit(-1)
     start = F.struct(
-        none_open.alias("size"),
+        F.lit(-1).alias("size"),
         F.lit(0).alias("at"),
         F.array().cast("array<int>").alias("starts"),
     )
 
     def step(state: Column, n: Column) -> Column:
         size, at, starts = state["size"], state["at"], state["starts"]
-        oversized = n > max_tokens
-        full = (size >= min_tokens) & (size + n > max_tokens)
-        opens = (size < 0) | oversized | full
+        fits = size + n <= max_tokens
+        stays = (size >= 0) & (fits | ((size < min_tokens) & (n <= max_tokens)))
         return F.struct(
-            F.when(oversized, none_open).when(opens, n).otherwise(size + n).alias("size"),
+            F.when(stays, size + n).when(n > max_tokens, F.lit(-1)).otherwise(n).alias("size"),
             (at + 1).alias("at"),
-            F.when(opens, F.array_append(starts, at)).otherwise(starts).alias("starts"),
+            F.when(stays, starts).otherwise(F.array_append(starts, at)).alias("starts"),
         )
 
     return F.aggregate(sizes, start, step, lambda state: state["starts"])
