@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvane.llm import bpe, packing
+from corvane.llm import bpe, packing, substring, suffixes
 from corvane.llm.tables import read, texts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,3 +36,15 @@ def op10_bpe(spark, sf_dir):
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op3_substring(spark, sf_dir):
+    found = substring.remove_repeats(texts(read(spark, sf_dir, "documents")))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query
+def op6_suffixes(spark, sf_dir):
+    found = suffixes.remove_repeats(texts(read(spark, sf_dir, "documents")))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
