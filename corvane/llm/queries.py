@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvane.llm import bpe, packing, substring, suffixes
+from corvane.llm import bpe, minhash, packing, substring, suffixes
 from corvane.llm.tables import read, texts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,3 +48,8 @@ def op3_substring(spark, sf_dir):
 def op6_suffixes(spark, sf_dir):
     found = suffixes.remove_repeats(texts(read(spark, sf_dir, "documents")))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op8_minhash(spark, sf_dir):
+    return minhash.near_copies(texts(read(spark, sf_dir, "documents")))
