@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvane.llm import bpe, minhash, packing, substring, suffixes
+from corvane.llm import bpe, minhash, packing, substring, suffixes, toxicity
 from corvane.llm.tables import read, texts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,3 +53,14 @@ def op6_suffixes(spark, sf_dir):
 @query
 def op8_minhash(spark, sf_dir):
     return minhash.near_copies(texts(read(spark, sf_dir, "documents")))
+
+
+@query
+def op9_toxicity(spark, sf_dir):
+    docs = texts(read(spark, sf_dir, "documents"))
+    labels = read(spark, sf_dir, "labels").filter(~toxicity.held_out(F.col("doc_id")))
+    scored = toxicity.score(docs, toxicity.fit(docs, labels))
+    return scored.select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
