@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvane.llm import bpe, minhash, packing, substring, suffixes, toxicity
+from corvane.llm import bpe, licenses, minhash, packing, substring, suffixes, toxicity
 from corvane.llm.tables import read, texts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,3 +64,8 @@ def op9_toxicity(spark, sf_dir):
         "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+@query
+def op7_licenses(spark, sf_dir):
+    return licenses.scan(texts(read(spark, sf_dir, "documents"))).drop("found")
