@@ -8,7 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvane.llm import bpe, licenses, minhash, packing, substring, suffixes, toxicity
+from corvane.llm import (
+    bpe,
+    fingerprints,
+    licenses,
+    minhash,
+    packing,
+    quotes,
+    substring,
+    suffixes,
+    toxicity,
+)
 from corvane.llm.tables import read, texts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,3 +79,21 @@ def op9_toxicity(spark, sf_dir):
 @query
 def op7_licenses(spark, sf_dir):
     return licenses.scan(texts(read(spark, sf_dir, "documents"))).drop("found")
+
+
+@query
+def op4_quotes(spark, sf_dir):
+    return quotes.link(read(spark, sf_dir, "conversations"))
+
+
+@query
+def op5_fingerprints(spark, sf_dir):
+    made = fingerprints.with_neighbours(texts(read(spark, sf_dir, "documents")))
+    return made.select(
+        "doc_id", "n_chars",
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        fingerprints.as_text(F.col("lanes")).alias("fingerprint"),
+        fingerprints.as_text(F.col("edited_lanes")).alias("edited_fingerprint"),
+        fingerprints.likeness(F.col("lanes"), F.col("edited_lanes")).alias("near_edited"),
+        fingerprints.likeness(F.col("lanes"), F.col("next_lanes")).alias("near_next"),
+    )

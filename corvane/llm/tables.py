@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -52,3 +52,27 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
+
+
+def ranked(df: DataFrame, keys: list, name: str) -> DataFrame:
+    """The rows with their number from 1 in the order of ``keys``, without one task seeing all rows.
+
+    Rows are dealt out by ranges of the keys and written to the shared folder, so
+    their division cannot change; each range numbers its own and starts where the
+    counts of those before it end. ``keys`` should tell rows apart.
+    """
+    spark = df.sparkSession
+    dealt = checkpointed(
+        df.repartitionByRange(shuffle_partitions(spark), *keys).withColumn("range_part", F.spark_partition_id())
+    )
+    counts = dealt.groupBy("range_part").agg(F.count("*").alias("in_part"))
+    before = counts.withColumn(
+        "before", F.sum("in_part").over(Window.orderBy("range_part")) - F.col("in_part")
+    )  # a row for each range
+    own = F.row_number().over(Window.partitionBy("range_part").orderBy(*keys))
+    return (
+        dealt.withColumn(name, own)
+        .join(F.broadcast(before.select("range_part", "before")), "range_part")
+        .withColumn(name, F.col(name) + F.col("before"))
+        .drop("range_part", "before")
+    )
