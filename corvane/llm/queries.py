@@ -17,6 +17,7 @@ from corvane.llm import (
     quotes,
     substring,
     suffixes,
+    topk,
     toxicity,
 )
 from corvane.llm.tables import read, texts
@@ -97,3 +98,81 @@ def op5_fingerprints(spark, sf_dir):
         fingerprints.likeness(F.col("lanes"), F.col("edited_lanes")).alias("near_edited"),
         fingerprints.likeness(F.col("lanes"), F.col("next_lanes")).alias("near_next"),
     )
+
+
+@query
+def op1_topk(spark, sf_dir):
+    vectors = topk.integer_vectors(read(spark, sf_dir, "embeddings"), "embedding")
+    return topk.search(vectors.filter(F.col("vec_id") % 50 == 0), vectors)
+
+
+ORACLES["op1_topk"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+), r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
+ORACLES["op3_substring"] = r"""
+WITH t AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents WHERE doc_id IS NOT NULL
+), v AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM t)
+), late AS (
+  SELECT doc_id, i FROM (
+    SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS k FROM v
+  ) WHERE k > 1
+), gone AS (
+  SELECT DISTINCT doc_id, p FROM (SELECT doc_id, unnest(range(i, i + 20)) AS p FROM late)
+), word AS (
+  SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM t
+), kept AS (
+  SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS k FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id
+), removed AS (
+  SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(k, '')) AS kept_sha256
+FROM t LEFT JOIN kept USING (doc_id) LEFT JOIN removed USING (doc_id)
+"""
+
+ORACLES["op8_minhash"] = r"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'
+  ) AS w
+  FROM documents WHERE doc_id IS NOT NULL
+), g AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS s
+  FROM t
+), u AS (
+  SELECT doc_id, unnest(s) AS x FROM g
+), p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+  FROM u a JOIN u b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL
+), e AS (
+  SELECT a, b FROM p JOIN g ga ON ga.doc_id = a JOIN g gb ON gb.doc_id = b
+  WHERE 100 * c >= 80 * (len(ga.s) + len(gb.s) - c)
+), linked AS (
+  SELECT a, b FROM e UNION ALL SELECT b, a FROM e
+), r AS (
+  SELECT doc_id, doc_id AS near FROM g UNION SELECT r.doc_id, linked.b FROM r JOIN linked ON r.near = linked.a
+), m AS (
+  SELECT doc_id, min(near) AS component_id FROM r GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, component_id = doc_id AS kept
+FROM g JOIN m USING (doc_id)
+"""
