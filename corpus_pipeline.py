@@ -1,25 +1,57 @@
 """A corpus from raw documents to packed training sequences, stage by stage.
 
-Each stage takes (spark, docs, sf_dir) and returns a frame that is written and
-read again as the next stage's documents. All but the last keep the columns of
-``documents``.
+Each stage takes (spark, docs, sf_dir) and returns a frame that is written as
+Parquet and read again as the next stage's documents. All but the last keep the
+columns of ``documents``. Rows without ``doc_id`` leave with the first stage; a
+repeated id counts once from the second on.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from corvane.llm import packing
+from corvane.llm import minhash, packing, suffixes, toxicity
 from corvane.llm.tables import fresh_folder, read, texts
 
+#: Documents with a score of so much or more are rejected.
+TOXIC = 0.5
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the nearest labelled examples do not mark as toxic."""
+    docs = docs.filter("doc_id is not null")
+    model = toxicity.fit(docs, read(spark, sf_dir, "labels"))
+    scored = toxicity.with_score(docs, model)
+    return scored.filter(F.col("toxicity_score") < TOXIC).drop("toxicity_score")
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the document of the least id."""
+    kept = minhash.near_copies(texts(docs)).filter("kept").select("doc_id")
+    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without long strings that also start earlier; every document stays, if only as an empty text."""
+    others = tuple(c for c in docs.columns if c not in ("doc_id", "text", "n_chars"))
+    cut = suffixes.remove_repeats(docs, carry=others).withColumn("text", F.col("kept_text"))
+    return cut.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token windows of all documents, best fit decreasing."""
     cut = packing.pieces(texts(docs), public_tokenizers.path("byte_bpe_50k.json"))
     return packing.pack(cut, docs.count())
 
 
-STAGES = [("packing", pack)]
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_dedup", drop_near_copies),
+    ("suffix_dedup", cut_repeats),
+    ("packing", pack),
+]
 
 #: SQL cannot express the stages; tests hold them against brute force.
 ORACLE_SQL = None

@@ -22,9 +22,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from corvane.llm import anchors, repeats
 from corvane.llm.bpe import blocks
+from corvane.llm.tables import schema_of
 
 WINDOW, GRAM = 100, 21
 _BYTES = anchors.spread_bytes()
@@ -173,17 +175,19 @@ def decider(window: int):
     return decide
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot_least: int = 1000) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot_least: int = 1000, carry: tuple[str, ...] = ()
+) -> DataFrame:
     """Texts without bytes of strings that also start earlier.
 
     Takes ``doc_id`` and ``text`` (null: empty) and returns ``doc_id``, ``n_bytes``,
     ``n_removed``, ``n_spans``, ``kept`` (the remaining bytes) and ``kept_text``:
     what remains if spans are first narrowed to whole characters. Strings are
     judged on the input. A text shorter than a window keeps all. Rows that repeat
-    in id and text get the same result.
+    in id and text get the same result. Columns named in ``carry`` come along.
     """
-    kind = repeats.Symbols(window, gram, byte_symbols, front_code)
-    dealt, spans = repeats.late_spans(docs, kind, decider(window), hot_least)
+    symbols = repeats.Symbols(window, gram, byte_symbols, front_code)
+    dealt, spans = repeats.late_spans(docs, symbols, decider(window), hot_least)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "kept_text"]
@@ -208,10 +212,14 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot_
                 for column, value in zip(rows, values, strict=True):
                     column.append(value)
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.string()]
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), *(pa.array(c, t) for c, t in zip(rows, kinds, strict=True))], names
-            )
-
-    return dealt.join(spans, "doc_id", "left").select("doc_id", "text", "spans").mapInArrow(
-        run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, kept_text string"
+            made = [pa.array(c, t) for c, t in zip(rows, kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays([part.column(0), *made, *part.columns[3:]], [*names, *carry])
+
+    both = dealt.join(spans, "doc_id", "left")
+    if carry:  # small columns go by themselves, so that the texts are dealt once for both uses
+        both = both.join(docs.select("doc_id", *carry).dropDuplicates(["doc_id"]), "doc_id")
+    kind = schema_of(
+        "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, kept_text string"
     )
+    kind = T.StructType([*kind.fields, *(docs.schema[c] for c in carry)])
+    return both.select("doc_id", "text", "spans", *carry).mapInArrow(run, kind)

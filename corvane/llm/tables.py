@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +22,10 @@ def texts(docs: DataFrame) -> DataFrame:
     )
 
 
+def schema_of(text: str) -> T.StructType:
+    return T._parse_datatype_string(text)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corvane.llm import anchors
 from corvane.llm.bpe import blocks
@@ -251,3 +252,14 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(
         run, "doc_id long, score double, evidence array<struct<example: long, cosine: double>>"
     )
+
+
+def with_score(docs: DataFrame, model: Model, name: str = "toxicity_score") -> DataFrame:
+    """``docs`` with all their columns and the score of each ``text`` as a further one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in blocks(batches):
+            found = pa.array([model.judge(t)[0] for t in texts], pa.float64())
+            yield pa.RecordBatch.from_arrays([*part.columns, found], [*part.schema.names, name])
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
