@@ -1,11 +1,10 @@
 """Fixed values that results depend on: limits, labels, word lists, messages
 and prompt templates. Everything here is data, stated as text."""
 
-# Chunk limits in tokens; the heuristic counter's four characters per token, as a
-# shift by two bits.
+# Chunk limits in tokens, and the heuristic counter's characters per token.
 CHUNK_MIN_TOKENS = 500
 CHUNK_MAX_TOKENS = 1000
-TOKEN_SHIFT = 2
+CHARS_PER_TOKEN = 4
 
 # Retrieval defaults.
 TOP_K = 5

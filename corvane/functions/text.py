@@ -40,11 +40,9 @@ def assemble_lines(blocks: Column) -> Column:
 
 
 def token_count(text: Column) -> Column:
-    """Heuristic token count: one per four characters, at least one.
-
-    The shift is the integer division, without a detour over doubles.
-    """
-    return F.greatest(F.lit(1), F.shiftright(F.length(text), fixed.TOKEN_SHIFT))
+    """Heuristic token count: one per four characters, at least one."""
+    whole = F.call_function("div", F.length(text), F.lit(fixed.CHARS_PER_TOKEN))
+    return F.greatest(F.lit(1), whole.cast("int"))
 
 
 def heuristic_counts(texts: Column) -> Column:

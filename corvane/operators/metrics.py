@@ -8,7 +8,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# The step from one period to the next.
+# The step from one period to the next.
 PERIODS = {"day": (1, "day"), "week": (7, "day"), "month": (1, "month")}
 
 
@@ -19,6 +19,15 @@ def _next_period(date: Column, period: str) -> Column:
     return F.date_add(date, count)
 
 
+def _before(date: dt.date, period: str) -> dt.date:
+    """The first day of the period before the one that holds ``date``."""
+    if period == "month":
+        return (date.replace(day=1) - dt.timedelta(days=1)).replace(day=1)
+    if period == "week":
+        date -= dt.timedelta(days=date.weekday())
+    return date - dt.timedelta(days=PERIODS[period][0])
+
+
 def customer_metrics(
     activity: DataFrame,
     *,
@@ -26,6 +35,8 @@ def customer_metrics(
     time: str = "ts",
     period: str = "day",
     source_file: str | None = None,
+    start: dt.date | None = None,
+    end: dt.date | None = None,
 ) -> DataFrame:
     """Customers, churned customers and churn rate per period.
 
@@ -37,7 +48,15 @@ def customer_metrics(
     next. The marks of a user and period combine before the shuffle, so a user
     with most of the rows is no hot spot, and no join is needed: who is due and
     not here has churned.
+
+    With ``start`` and ``end`` only periods from the one up to but not including the
+    other are reported. The range, widened by the period before it, is a filter on
+    the time itself, which reaches the scan.
     """
+    if start is not None:
+        activity = activity.filter(F.col(time) >= F.lit(dt.datetime.combine(_before(start, period), dt.time())))
+    if end is not None:
+        activity = activity.filter(F.col(time) < F.lit(dt.datetime.combine(end, dt.time())))
     date = F.to_date(time)
     if period != "day":
         date = F.trunc(date, period)
@@ -58,6 +77,10 @@ def customer_metrics(
         F.max("here").alias("active"),
     )
     rate = F.try_divide(F.col("churned_customers"), F.col("total_customers"))
+    if start is not None:
+        totals = totals.filter(F.col("metric_date") >= F.lit(start))
+    if end is not None:
+        totals = totals.filter(F.col("metric_date") < F.lit(end))
     return totals.filter(F.col("active") & (F.col("total_customers") > 0)).select(
         "metric_date",
         "total_customers",

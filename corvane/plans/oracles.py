@@ -12,7 +12,7 @@ from corvane.functions import routing
 from corvane.plans import tables as given
 from corvane.plans.registry import GUARDED, PIVOTS
 
-# The given tables' columns and types.
+# The given tables' columns and types.
 COLUMNS = {
     "region": "r_regionkey int, r_name string",
     "nation": "n_nationkey int, n_name string, n_regionkey int",

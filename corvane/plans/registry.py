@@ -286,7 +286,7 @@ QUERIES.update({name: _guarded(sql) for name, sql in GUARDED.items()})
 
 def _facts(spark, sf_dir) -> DataFrame:
     given.register_warehouse(spark, sf_dir)
-    return answers.facts(spark, given.STATEMENTS)
+    return answers.facts(spark, answers.asked_statements(given.questions(spark, sf_dir)))
 
 
 @query
@@ -315,7 +315,7 @@ def _answers(spark, sf_dir) -> DataFrame:
 
 @query
 def answer_batch(spark, sf_dir):
-    return _answers(spark, sf_dir).withColumn("sources", sources_text(F.col("sources")))
+    return _answers(spark, sf_dir).drop("failed").withColumn("sources", sources_text(F.col("sources")))
 
 
 @query
@@ -381,9 +381,8 @@ def churn_series(spark, sf_dir):
 
 @query
 def avg_churn_quarter(spark, sf_dir):
-    averaged = metrics.average_churn(
-        given.metrics(spark, sf_dir), dt.date(2024, 1, 8), dt.date(2024, 1, 15)
-    )
+    start, end = dt.date(2024, 1, 8), dt.date(2024, 1, 15)
+    averaged = metrics.average_churn(given.metrics(spark, sf_dir, start=start, end=end), start, end)
     return averaged.withColumn("avg_churn", F.round("avg_churn", 6))
 
 

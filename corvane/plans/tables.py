@@ -6,6 +6,7 @@ are the conversations, model calls their turns, and vectors ``embeddings``.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from functools import partial, reduce
 
@@ -88,6 +89,7 @@ GUARD_CASES = (
     ("SELECT churn_rate FROM customer_metrics; DROP TABLE customer_metrics;", False),
     ("select dataset_name, column_name from glue_catalog_metadata where is_present = false", True),
     ("SELECT COUNT(*) FROM document_embeddings", True),
+    # further edges of the rules
     ("SELECT 1;DROP TABLE t", False),
     ("SELECT ' drop '", False),
     ("SELECT 'a;b'", False),
@@ -154,8 +156,8 @@ def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return customer_metrics(table(spark, sf_dir, "events"), source_file="events.parquet")
+def metrics(spark: SparkSession, sf_dir: str, **range_of: dt.date) -> DataFrame:
+    return customer_metrics(table(spark, sf_dir, "events"), source_file="events.parquet", **range_of)
 
 
 def given(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -222,7 +224,7 @@ def register_warehouse(spark: SparkSession, sf_dir: str) -> None:
     """
     def load(name: str, build: Callable[[SparkSession, str], DataFrame]) -> None:
         df, path = build(spark, sf_dir), fresh_path(spark, name)
-        df.coalesce(1).write.parquet(path)
+        df.write.parquet(path)
         spark.read.schema(df.schema).parquet(path).createOrReplaceTempView(name)
 
     side_by_side(
