@@ -377,7 +377,8 @@ ORACLES = {
     "THEN 'document_ingest' ELSE 'structured_load' END AS handler FROM uploads WHERE key LIKE 'raw/%'",
     "event_records": f"WITH {DOCS} SELECT 'uploads' AS bucket, s3_key AS key FROM docs "
     "UNION ALL SELECT 'uploads', replace(s3_key, 'pdf', 'json') FROM docs",
-    "csv_scan": "SELECT event_id, user_id, event_type, value, props FROM events WHERE value > 50",
+    "csv_scan": "SELECT event_id, user_id, event_type, value, props, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts FROM events",
+    "csv_texts": "SELECT doc_id, text, source FROM documents",
     "json_scan": "SELECT conv_id, turn, role, text FROM conversations",
     "discover_schema": " UNION ALL ".join(
         f"SELECT '{table}' AS dataset_name, '{column}' AS column_name, '{kind}' AS data_type, "

@@ -488,10 +488,19 @@ def event_records(spark, sf_dir):
 
 @query
 def csv_scan(spark, sf_dir):
-    events = given.table(spark, sf_dir, "events").drop("ts")
+    events = given.table(spark, sf_dir, "events").withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
     path = fresh_path(spark, "csv")
-    events.write.option("header", "true").csv(path)
-    return files.scan_csv(spark, path, events.schema).filter(F.col("value") > 50)
+    events.write.options(header="true", escape='"').csv(path)
+    return files.scan_csv(spark, path, events.schema)
+
+
+@query
+def csv_texts(spark, sf_dir):
+    """Texts with line breaks and quotes, as RFC 4180 writes them."""
+    docs = given.table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    path = fresh_path(spark, "csv")
+    docs.write.options(header="true", escape='"', quoteAll="true").csv(path)
+    return files.scan_csv(spark, path, docs.schema)
 
 
 @query

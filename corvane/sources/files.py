@@ -43,9 +43,15 @@ def scan_csv(
     *,
     stream: bool = False,
     per_batch: int | None = None,
+    multi_line: bool = True,
 ) -> DataFrame:
-    """CSV uploads with a header line; without a schema the types are inferred."""
-    reader = _reader(spark, stream, per_batch).option("header", "true")
+    """CSV uploads with a header line; without a schema the types are inferred.
+
+    Quotes within a quoted field are doubled, as in RFC 4180. Fields may hold line
+    breaks; a file is then read by one task. Where they do not, ``multi_line=False``
+    lets large files be split.
+    """
+    reader = _reader(spark, stream, per_batch).options(header="true", escape='"', multiLine=multi_line)
     reader = reader.schema(schema) if schema else reader.option("inferSchema", "true")
     return reader.csv(folder)
 

@@ -76,7 +76,37 @@ def test_reingestion_replaces(spark, store):
     after = {r.s3_key: r for r in sinks.read_keyed(spark, store.documents, schema).collect()}
     assert set(after) == {"k1", "k2", "k3", "k4"}
     assert all(after[k] == before[k] for k in before)
-    assert {c[0]: c[2] for c in stored_chunks(spark, store)} == {"k1": "New.", "k3": "Eight.", "k4": "Nine."}
+    want = [("k1", 0, "New."), ("k3", 0, "Eight."), ("k4", 0, "Nine.")]
+    assert stored_chunks(spark, store) == want
+    vectors = sinks.read_keyed(spark, store.vectors, table_schema("vector_index")).collect()
+    assert sorted((r.s3_key, r.chunk_index, r.chunk_text) for r in vectors) == want
+
+
+def test_latest_delivery_of_a_key(spark, store):
+    at = [dt.datetime(2024, 1, d) for d in (1, 3, 2)]
+    rows = [("k", "b", text, when) for text, when in zip(("Old.", "Last.", "Zwischen."), at)]
+    kind = "s3_key string, source_bucket string, text string, modified timestamp"
+    ingest.ingest_documents(spark.createDataFrame(rows, kind), store, **LIMITS)
+    assert stored_chunks(spark, store) == [("k", 0, "Last.")]
+    untimed = [("k", "b", "One two. Three."), ("k", "b", "Only. Other.")]
+    ingest.ingest_documents(spark.createDataFrame(untimed, "s3_key string, source_bucket string, text string"), store, **LIMITS)
+    assert {c[2] for c in stored_chunks(spark, store)} in ({"Only. Other."}, {"Only.", "Other."})
+
+
+def test_streams_on_two_checkpoints_add_up(spark, tmp_path):
+    folder, root = tmp_path / "in", str(tmp_path / "w")
+    folder.mkdir()
+    (folder / "1.csv").write_text("record_id,source_system\n1,crm\n")
+    for name in ("one", "two"):
+        rows = files.scan_csv(spark, str(folder), "record_id string, source_system string", stream=True)
+        ingest.structured_stream(rows, root, f"{tmp_path}/{name}", "sales", "csv").awaitTermination()
+    assert spark.read.parquet(f"{root}/structured_data").count() == 2
+
+
+def test_standard_csv(spark, tmp_path):
+    (tmp_path / "q.csv").write_text('a,b\r\n"x ""y"" z","line\none"\r\n1,"2,3"\r\n', newline="")
+    got = {tuple(r) for r in files.scan_csv(spark, str(tmp_path), "a string, b string").collect()}
+    assert got == {('x "y" z', "line\none"), ("1", "2,3")}
 
 
 def test_upsert_changes_only_the_status(spark):
@@ -117,8 +147,8 @@ def test_structured_stream(spark, tmp_path):
 def test_repeated_batch_replaces_itself(spark, tmp_path):
     rows = spark.createDataFrame([("1", "x")], "record_id string, source_system string")
     for _ in range(2):
-        assert ingest.load_structured(rows, str(tmp_path), "d", "json", batch_id=4) == 1
-    ingest.load_structured(rows, str(tmp_path), "d", "json", batch_id=5)
+        assert ingest.load_structured(rows, str(tmp_path), "d", "json", load_id="a") == 1
+    ingest.load_structured(rows, str(tmp_path), "d", "json", load_id="b")
     assert spark.read.parquet(f"{tmp_path}/structured_data").count() == 2
     assert spark.read.parquet(f"{tmp_path}/glue_catalog_metadata").count() == 6
 
