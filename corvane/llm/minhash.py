@@ -11,8 +11,8 @@ missed with a chance of one in ten million, and nearer pairs far less.
 
 All that meet are confirmed on their full shingle sets. Texts with equal sets are
 one class from the start. Pairs of a group are not all compared: first each class
-is compared with the least class it meets; then, in groups whose classes are not
-yet connected, those of different components. What is left untested is connected
+is compared with the least class it meets; then classes that meet and are not yet
+connected are compared in memory, in blocks. What is left untested is connected
 already, so no link between components is lost.
 """
 
@@ -37,6 +37,8 @@ SLOTS = CHUNKS * CHUNK_SLOTS
 _HASHES = anchors.mix(np.arange(1, SLOTS + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F)) | np.uint64(1)
 #: Shingles handled at once.
 BLOCK = 1 << 15
+#: Classes of a cluster that meet in one task, and shingles compared at once there.
+BLOCK_CLASSES, COLUMNS = 1024, 4096
 
 
 def shingles(text: str, size: int) -> np.ndarray:
@@ -160,6 +162,90 @@ def components(links: DataFrame) -> DataFrame:
         before = state
 
 
+def intersections(one: list[np.ndarray], other: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all sets of one list with all of the other."""
+    flat = [np.concatenate(x) for x in (one, other)]
+    common = np.intersect1d(*flat)
+    owner = [np.repeat(np.arange(len(x)), [len(s) for s in x]) for x in (one, other)]
+    place = [np.searchsorted(common, f) for f in flat]
+    held = [(p < len(common)) & (common[np.minimum(p, len(common) - 1)] == f) if len(common) else np.zeros(len(f), bool) for p, f in zip(place, flat, strict=True)]
+    out = np.zeros((len(one), len(other)), np.float32)
+    for begin in range(0, len(common), COLUMNS):
+        part = []
+        for p, h, o, x in zip(place, held, owner, (one, other), strict=True):
+            own = h & (p >= begin) & (p < begin + COLUMNS)
+            matrix = np.zeros((len(x), min(COLUMNS, len(common) - begin)), np.float32)
+            matrix[o[own], p[own] - begin] = 1
+            part.append(matrix)
+        out += part[0] @ part[1].T
+    return out.astype(np.int64)
+
+
+def linked_labels(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of labels (a, b) between which some classes of one key are linked.
+
+    Classes that meet, directly or through others, form a cluster, which goes in
+    blocks of BLOCK_CLASSES; each pair of blocks is compared in one task, where only
+    classes of different labels count. A set travels once per block of its cluster,
+    and no pair is ever a row unless it links two labels.
+    """
+    least = rest.groupBy("key").agg(F.min("rep").alias("leader"))
+    star = rest.join(least, "key").filter("leader < rep").select(F.col("leader").alias("a"), F.col("rep").alias("b"))
+    cluster = components(star)
+    labels = rest.select("rep", "label").distinct()
+    nodes = labels.join(cluster.withColumnRenamed("node", "rep"), "rep", "left").select(
+        "rep", "label", F.coalesce("component", "rep").alias("cluster")
+    )
+    counts = nodes.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK_CLASSES).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+    placed = nodes.join(counts, "cluster").withColumn("own", own)
+    dealt = placed.select(
+        "rep", "label", "cluster", "own",
+        F.explode(F.expr("transform(sequence(0, blocks - 1), x -> struct(least(own, x) AS low, greatest(own, x) AS high))")).alias("pair"),
+    ).select("rep", "label", "cluster", "own", "pair.low", "pair.high")
+    rows = sets.join(dealt, "rep").select("cluster", "low", "high", "own", "label", "members")
+
+    def compare(held: list[pa.RecordBatch]) -> np.ndarray:
+        whole = pa.Table.from_batches(held)
+        low, high, own, label = (whole.column(c).to_numpy() for c in ("low", "high", "own", "label"))
+        members = [np.asarray(x) for x in whole.column("members").to_pandas()]
+        one = np.flatnonzero(own == low[0])
+        other = one if low[0] == high[0] else np.flatnonzero(own == high[0])
+        if not len(one) or not len(other):
+            return np.zeros((0, 2), np.int64)
+        common = intersections([members[k] for k in one], [members[k] for k in other])
+        sizes = np.array([len(x) for x in members])
+        union = sizes[one][:, None] + sizes[other] - common
+        a, b = np.nonzero((100 * common >= percent * union) & (label[one][:, None] != label[other]))
+        pairs = np.sort(np.stack([label[one[a]], label[other[b]]], 1), 1)
+        return np.unique(pairs, axis=0) if len(pairs) else pairs
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def done() -> pa.RecordBatch:
+            pairs = compare(held)
+            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+        held: list[pa.RecordBatch] = []
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = np.stack([batch.column(k).to_numpy().astype(np.int64) for k in range(3)], 1)
+            cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1).tolist(), len(keys)]
+            for begin, end in zip(cuts[:-1], cuts[1:], strict=True):
+                key = tuple(keys[begin])
+                if held and key != last:
+                    yield done()
+                    held = []
+                held.append(batch.slice(begin, end - begin))
+                last = key
+        if held:
+            yield done()
+
+    ordered = rows.repartition("cluster", "low", "high").sortWithinPartitions("cluster", "low", "high")
+    return ordered.mapInArrow(run, "a long, b long").distinct()
+
+
 def near_copies(docs: DataFrame, percent: int = 80, size: int = SHINGLE) -> DataFrame:
     """Every document with its set size and its component of near copies.
 
@@ -174,8 +260,10 @@ def near_copies(docs: DataFrame, percent: int = 80, size: int = SHINGLE) -> Data
     folder = fresh_folder(spark, "signatures")
     signed(docs, size).write.parquet(folder)
     base = spark.read.parquet(folder)
-    classes = base.filter("n_shingles > 0").groupBy("set_a", "set_b").agg(
-        F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n")
+    classes = checkpointed(
+        base.filter("n_shingles > 0").groupBy("set_a", "set_b").agg(
+            F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n")
+        )
     )
     of_doc = base.filter("n_shingles > 0").select("doc_id", "set_a", "set_b").join(classes, ["set_a", "set_b"])
     keyed = base.select("doc_id", F.explode("keys").alias("key"))
@@ -200,18 +288,15 @@ def near_copies(docs: DataFrame, percent: int = 80, size: int = SHINGLE) -> Data
         "key", "rep", "n", F.coalesce("component", "rep").alias("label")
     )
     mixed = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
-    rest = labelled.join(mixed.select("key"), "key")
-    left, right = (rest.select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("rep", "n", "label"))) for s in "ab")
-    fitting = (F.col("label_a") < F.col("label_b")) & (
-        100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
-    )
-    more = left.join(right, "key").filter(fitting).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct()
-    more = confirmed(more, sets, percent)
+    rest = labelled.join(mixed.select("key"), "key").select("key", "rep", "label")
+    more = linked_labels(rest, sets, percent)
     known = components(links.union(more))
 
-    named = of_doc.join(known.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "set_a", "set_b", F.coalesce("component", "rep").alias("component_id")
-    ).distinct()
+    named = checkpointed(
+        classes.join(known.withColumnRenamed("node", "rep"), "rep", "left").select(
+            "set_a", "set_b", F.coalesce("component", "rep").alias("component_id")
+        )
+    )
     result = base.select("doc_id", "n_shingles", "set_a", "set_b").join(named, ["set_a", "set_b"], "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return result.select("doc_id", "n_shingles", component.alias("component_id"), (component == F.col("doc_id")).alias("kept"))

@@ -54,6 +54,33 @@ def test_components(spark):
         assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in got} == brute(rows)
 
 
+def test_blocks_of_clusters(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK_CLASSES", 3)
+    monkeypatch.setattr(minhash, "COLUMNS", 7)
+    rows = corpus(5)
+    got = minhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in got} == brute(rows)
+
+
+def test_linked_labels(spark):
+    rng = random.Random(8)
+    base = list(range(60))
+    sets = []
+    for k in range(40):
+        own = set(base)
+        for _ in range(rng.randint(0, 9)):
+            own.discard(rng.randrange(60))
+            own.add(100 + rng.randrange(500))
+        sets.append((k, sorted(own)))
+    table = spark.createDataFrame(sets, "rep long, members array<long>")
+    rest = spark.createDataFrame([(1, k, k) for k in range(40)], "key long, rep long, label long")
+    want = {
+        (a, b) for a, x in sets for b, y in sets
+        if a < b and 100 * len(set(x) & set(y)) >= 80 * len(set(x) | set(y))
+    }
+    assert want and {(r.a, r.b) for r in minhash.linked_labels(rest, table, 80).collect()} == want
+
+
 def test_nothing_and_repeated_rows(spark):
     assert minhash.near_copies(spark.createDataFrame([], "doc_id long, text string")).collect() == []
     docs = spark.createDataFrame([(4, "p q r s t"), (4, "p q r s t"), (5, "p q r s t")], "doc_id long, text string")
