@@ -296,6 +296,21 @@ def document_answers(spark, sf_dir):
     return answered.withColumn("sources", sources_text(F.col("sources")))
 
 
+@query
+def ask_store(spark, sf_dir):
+    """Every conversation turn asked of the documents as they were ingested."""
+    root = fresh_path(spark, "asked")
+    store = ingest.DocumentStore(root)
+    docs = given.documents(spark, sf_dir).select("s3_key", F.lit("uploads").alias("source_bucket"), "text")
+    ingest.ingest_documents(docs, store)
+    stored = sinks.read_keyed(spark, store.vectors, ingest.table_schema("vector_index"))
+    turns = given.table(spark, sf_dir, "conversations")
+    asked = turns.select((F.col("conv_id") * 1000 + F.col("turn")).alias("question_id"), F.col("text").alias("question"))
+    found = answers.evidence(answers.retrieve_stored(asked, stored))
+    answered = answers.document_answers(asked, found)
+    return answered.withColumn("sources", sources_text(F.col("sources")))
+
+
 @query
 def synthesis_context(spark, sf_dir):
     asked = given.questions(spark, sf_dir)
