@@ -8,7 +8,7 @@ rounds. After each round
 
 * the best rows so far are scored exactly: their k-th score is a threshold,
 * no row can reach more than what it has gathered plus, for each dimension it has
-  not been met in yet, the impact of that dimension's next segment.
+  not been met in yet, the impact of the next segment.
 
 Processing stops once that bound proves that so few rows can still reach the
 threshold that scoring them exactly costs less than another round. Those rows are
@@ -66,27 +66,27 @@ class Index:
         dim, level, value = dim[order], level[order], value[order]
         size = self.begin[dim * LEVELS + level + 1] - self.begin[dim * LEVELS + level]
         done = np.cumsum(size)
-        gathered = np.zeros(n)
+        # what a row has gathered, and ``met_once``, more than all it can gather, for each
+        # dimension it was met in; without room for both in a double, all rows are scored
+        met_once = float(1 << int(impact.max(1).sum()).bit_length())
+        state = np.zeros(n)
         candidates = np.flatnonzero(usable)
         at = 0
-        for turn in range(1, ROUNDS):
+        for turn in range(1, ROUNDS if self.dims * met_once < 2.0**52 else 1):
             to = int(np.searchsorted(done, done[-1] * turn / ROUNDS, "right"))
             if to <= at:
                 continue
             rows, gain = self._postings(dim[at:to], level[at:to], value[at:to])
-            gathered += np.bincount(rows, gain, n)
+            state += np.bincount(rows, gain + met_once, n)
             at = to
-            ahead = np.zeros(self.dims)
-            np.maximum.at(ahead, dim[at:], value[at:])
-            # dimensions met: their next impact is not due any more
-            rows, gain = self._postings(dim[:at], level[:at], ahead[dim[:at]])
-            met = np.bincount(rows, gain, n)
-            bound = gathered + ahead.sum() - met
-            best = candidates[np.argpartition(-gathered[candidates], min(k, len(candidates)) - 1)[:k]]
+            met = np.floor(state[candidates] / met_once)
+            gathered = state[candidates] - met * met_once
+            # segments go by falling impact: none ahead has more than the next
+            bound = gathered + (self.dims - met) * (value[at] if at < len(value) else 0)
+            best = candidates[np.argpartition(-gathered, min(k, len(candidates)) - 1)[:k]]
             scores = self.vectors[best] @ query
             if len(scores) == k:
-                threshold = scores.min() - base.sum()
-                candidates = candidates[bound[candidates] >= threshold]
+                candidates = candidates[bound >= scores.min() - base.sum()]
             if len(candidates) <= max(k, FEW * n):
                 break
         scores = self.vectors[candidates] @ query

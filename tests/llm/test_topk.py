@@ -13,7 +13,7 @@ def brute(ids, vectors, query, k, skip):
 
 def test_index_is_exact():
     rng = np.random.default_rng(1)
-    for n, dims, spread in ((1, 3, 5), (4, 2, 1), (300, 8, 3), (900, 16, 300), (400, 5, 1)):
+    for n, dims, spread in ((1, 3, 5), (4, 2, 1), (300, 8, 3), (900, 16, 300), (400, 5, 1), (300, 8, 1 << 24)):
         vectors = rng.integers(-spread, spread + 1, (n, dims))
         vectors[n // 2 :] = vectors[: n - n // 2] if n % 2 == 0 else vectors[n // 2 :]
         ids = rng.permutation(n) * 3
