@@ -2,8 +2,8 @@
 
 Terms are words and their beginnings of 3 to 6 letters. A bounded, balanced
 sample of labelled documents (EXAMPLES of each label at most) gives the terms that
-mark toxic text, by the likelihood ratio of their document counts, and the
-examples. How many documents hold a term is counted over the whole corpus.
+mark toxic text, by the likelihood ratio of their document counts and until the
+toxic examples are covered, and the examples. How many documents hold a term is counted over the whole corpus.
 
 Examples lie in an inverted index by term, in blocks of BLOCK examples; each
 block knows the largest weight of each term in it. A text visits blocks by
@@ -31,6 +31,8 @@ from corvane.llm.bpe import blocks
 #: Labelled documents of each label that serve as examples, at most.
 EXAMPLES = 2048
 TERMS = 512
+#: Terms looked at for that, and how often a toxic example is to be covered by them.
+CANDIDATES, COVERED = 8192, 3
 BLOCK = 32
 NEIGHBOURS = 15
 BEGINNINGS = (3, 4, 5, 6)
@@ -137,6 +139,47 @@ class Model:
         return self.memo[key]
 
 
+def covering(marked: list[list[int]], others: list[list[int]], n: int, most: int, least: float) -> list[int]:
+    """Terms, by number, that mark the one kind of documents, chosen one after the other.
+
+    Each is the one that best tells the marked documents not yet COVERED times
+    apart from all others. So terms that only come along with chosen ones, as the
+    words of one document in all of its copies do, are passed over. ``least`` is the
+    likelihood ratio a term must reach.
+    """
+    inside = np.zeros((len(marked), n), bool)
+    for row, own in zip(inside, marked, strict=True):
+        row[own] = True
+    outside = np.bincount(np.array([t for own in others for t in own], np.int64), minlength=n)
+    covered = np.zeros(len(marked), np.int64)
+    left, open_ = inside.sum(0), len(marked)
+    chosen: list[int] = []
+    while len(chosen) < most and open_:
+        total, both = left + outside, open_ + len(others)
+        share = total / both
+        with np.errstate(divide="ignore", invalid="ignore"):
+            gains = (
+                np.where(k > 0, k * np.log(k / (m * part)), 0.0)
+                for k, m, part in (
+                    (left, open_, share), (outside, len(others), share),
+                    (open_ - left, open_, 1 - share), (len(others) - outside, len(others), 1 - share),
+                )
+            )
+            ratio = 2 * sum(gains)
+        ratio[left * len(others) <= outside * open_] = 0
+        ratio[chosen] = 0
+        term = int(np.argmax(ratio))
+        if not ratio[term] > least:
+            break
+        chosen.append(term)
+        now = np.flatnonzero(inside[:, term])
+        done = now[covered[now] == COVERED - 1]
+        covered[now] += 1
+        left = left - inside[done].sum(0)
+        open_ -= len(done)
+    return sorted(chosen)
+
+
 def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, terms: int = TERMS) -> Model:
     """The model from ``labels`` (``doc_id``, ``toxic``) and the corpus they belong to.
 
@@ -191,7 +234,7 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, terms: int
     )
     sizes = sample.agg(F.count("*").alias("n"), F.sum("toxic").alias("n1")).first()
     n1, n0 = sizes.n1 or 0, sizes.n - (sizes.n1 or 0)
-    chosen: list[int] = []
+    chosen = np.zeros(0, np.uint64)
     if n1 and n0:
         k1, k0, n = F.col("k1"), F.col("k0"), F.col("k1") + F.col("k0")
 
@@ -203,9 +246,14 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, terms: int
         scored = exploded.filter(k1 * n0 > k0 * n1).select("term", F.when(share < 1, ratio).otherwise(0.0).alias("ratio"))
         # by chance alone, the best of as many terms as there are reaches about 2 ln(terms)
         least = 2 * np.log(max(2, exploded.count()))
-        best = scored.filter(F.col("ratio") > float(least)).orderBy(F.desc("ratio"), "term").limit(terms)
-        chosen = [r.term for r in best.collect()]
-    number = np.sort(np.array(chosen, np.int64).view(np.uint64))
+        best = scored.filter(F.col("ratio") > float(least)).orderBy(F.desc("ratio"), "term").limit(CANDIDATES)
+        candidates = np.sort(np.array([r.term for r in best.collect()], np.int64).view(np.uint64))
+        # at most 2 * examples rows of at most CANDIDATES numbers
+        held = sample.select("doc_id", "toxic", "text").mapInArrow(
+            known_terms(candidates), "doc_id long, toxic int, terms array<long>, counts array<long>"
+        ).select("toxic", "terms").collect()
+        chosen = candidates[covering([r.terms for r in held if r.toxic], [r.terms for r in held if not r.toxic], len(candidates), terms, least)]
+    number = np.sort(np.array(chosen, np.uint64))
     corpus = {r.term: r.n for r in docs.select("doc_id", "text").mapInArrow(holding(number), "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()}
     total = corpus.get(len(number), 0)
     idf = np.array([np.log((1 + total) / (1 + corpus.get(t, 0))) + 1 for t in range(len(number))])
