@@ -46,9 +46,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not folder:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="corvane-")
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
+        folder = os.path.join(tempfile.gettempdir(), f"corvane-{context.applicationId}")
     return folder
 
 

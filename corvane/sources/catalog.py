@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvane.functions.keys import upload_key
@@ -48,6 +48,21 @@ def deleted_files(seen: DataFrame, present: DataFrame) -> DataFrame:
     return seen.join(present, "key", "left_anti")
 
 
+# Names that ``schema_of_variant`` gives to types.
+VARIANT_TYPES = (
+    "ARRAY", "OBJECT", "VOID", "BOOLEAN", "BIGINT", "DOUBLE", "FLOAT", "DECIMAL", "STRING", "BINARY", "DATE",
+    "TIMESTAMP", "TIMESTAMP_NTZ", "VARIANT",
+)
+
+
+def _type_text(value: Column) -> Column:
+    """A variant's type in lower case; names of nested fields keep theirs."""
+    text = F.schema_of_variant(value)
+    for name in VARIANT_TYPES:
+        text = F.regexp_replace(text, rf"\b{name}\b(?=[<>,(]|$)", name.lower())
+    return text
+
+
 def discover_json_schema(records: DataFrame, dataset: str, column: str) -> DataFrame:
     """Fields and types that occur in a column of JSON objects, with their counts.
 
@@ -63,5 +78,5 @@ def discover_json_schema(records: DataFrame, dataset: str, column: str) -> DataF
     return fields.groupBy(
         "dataset_name",
         F.col("key").alias("column_name"),
-        F.lower(F.schema_of_variant("value")).alias("data_type"),
+        _type_text(F.col("value")).alias("data_type"),
     ).agg(F.count(F.lit(1)).alias("occurrences"))

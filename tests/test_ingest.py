@@ -217,6 +217,8 @@ def test_discovered_json_fields(spark):
     df = spark.createDataFrame([("d", '{"a": 1, "b": [1]}'), ("d", '{"a": "x"}'), ("d", "bad"), ("d", None)], "ds string, js string")
     rows = {tuple(r) for r in catalog.discover_json_schema(df, "ds", "js").collect()}
     assert rows == {("d", "a", "bigint", 1), ("d", "a", "string", 1), ("d", "b", "array<bigint>", 1)}
+    nested = spark.createDataFrame([("d", '{"p": {"Zip": 1, "DOUBLE": ["x"]}}')], "ds string, js string")
+    assert catalog.discover_json_schema(nested, "ds", "js").first().data_type == "object<DOUBLE: array<string>, Zip: bigint>"
 
 
 def test_csv_inference(spark, tmp_path):
