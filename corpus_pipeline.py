@@ -23,8 +23,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the nearest labelled examples do not mark as toxic."""
     docs = docs.filter("doc_id is not null")
     model = toxicity.fit(docs, read(spark, sf_dir, "labels"))
-    scored = toxicity.with_score(docs, model)
-    return scored.filter(F.col("toxicity_score") < TOXIC).drop("toxicity_score")
+    name = "toxicity_score"
+    while name in docs.columns:
+        name += "_"
+    return toxicity.with_score(docs, model, name).filter(F.col(name) < TOXIC).drop(name)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,9 +37,12 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without long strings that also start earlier; every document stays, if only as an empty text."""
-    others = tuple(c for c in docs.columns if c not in ("doc_id", "text", "n_chars"))
-    cut = suffixes.remove_repeats(docs, carry=others).withColumn("text", F.col("kept_text"))
-    return cut.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+    others = {c: f"carried_{k}" for k, c in enumerate(docs.columns) if c not in ("doc_id", "text", "n_chars")}
+    named = docs.select("doc_id", "text", *(F.col(f"`{c}`").alias(n) for c, n in others.items()))
+    cut = suffixes.remove_repeats(named, carry=tuple(others.values()))
+    made = {"doc_id": F.col("doc_id"), "text": F.col("kept_text"), "n_chars": F.char_length("kept_text").cast("long")}
+    made |= {c: F.col(n) for c, n in others.items()}
+    return cut.select(*(made[c].alias(c) for c in docs.columns))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

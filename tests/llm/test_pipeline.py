@@ -69,3 +69,27 @@ def test_pipeline(spark):
     ran = corpus_pipeline.run(spark, SF).collect()
     key = lambda r: (r.doc_id, r.start)
     assert [r[:5] for r in sorted(ran, key=key)] == [r[:5] for r in sorted(seen[3][2], key=key)]
+
+
+def test_odd_rows_and_columns(spark, tmp_path):
+    """Nulls, repeated rows and further columns, some with names that stages use."""
+    long = " ".join(f"word{k}" for k in range(60))
+    more = " ".join(f"other{k}" for k in range(60))
+    kind = "doc_id long, text string, lang string, source string, n_chars long, kept_text int, toxicity_score int, n_spans int"
+    rows = [
+        (1, None, None, None, None, 1, 2, 3), (2, "", "en", "s", 0, 1, 2, 3), (3, long, None, "s", 1, 1, None, 3),
+        (3, long, None, "s", 1, 1, None, 3), (4, f"{more} {long}", "en", None, 2, None, 2, 3), (None, "y", "en", "s", 1, 1, 2, 3),
+    ]
+    docs = spark.createDataFrame(rows, kind)
+    spark.createDataFrame([(3, 0)], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:3]:
+        docs = stage(spark, docs, str(tmp_path))
+        assert docs.columns == kind.replace(",", "").split()[::2]
+    got = {r.doc_id: r for r in docs.collect()}
+    assert sorted(got) == [1, 2, 3, 4] and got[3].text == long
+    assert got[4].n_chars == len(got[4].text) < len(more) + 3 and got[4].toxicity_score == 2
+    assert {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == {1, 2, 3, 4}
+    none = spark.createDataFrame([], kind)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, none, str(tmp_path)).collect() == []
