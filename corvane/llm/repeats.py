@@ -36,7 +36,7 @@ from corvane.llm.bpe import blocks
 from corvane.llm.tables import fresh_folder
 
 #: Symbols handled at once; longer texts are cut with overlap.
-CHUNK = 1 << 21
+CHUNK = 1 << 18
 #: One of so many documents is looked at for hot grams.
 SAMPLE = 64
 #: Documents of one bucket, on average.

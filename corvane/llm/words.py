@@ -21,7 +21,7 @@ SPACE, LETTER, DIGIT, OTHER, STOP = range(5)
 #: White space as the pattern's ``\\s`` has it.
 WHITE = [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 #: Longer texts are cut before a single white space between two signs, where a piece always begins.
-SLICE = 1 << 20
+SLICE = 1 << 18
 _CUT = re.compile(r"(?<=\S)(?=\s\S)")
 #: Odd, so that it can be inverted modulo 2**64.
 BASE = 0x9E3779B97F4A7C15
@@ -99,7 +99,7 @@ class PieceTable:
     results do not depend on it.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], limit: int = 1 << 20):
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], limit: int = 1 << 18):
         self.encode, self.limit = encode, limit
         self.clear()
 
