@@ -35,8 +35,10 @@ def test_filters_and_columns_reach_the_scan(spark):
     plan = plan_of(QUERIES["by_source_file"](spark, SF_DIR))
     assert "EqualTo(event_type,click)" in plan
     assert "ReadSchema: struct<event_id:bigint,event_type:string,value:double>" in plan
-    plan = plan_of(QUERIES["csv_scan"](spark, SF_DIR))
+    plan = plan_of(QUERIES["csv_scan"](spark, SF_DIR).filter("value > 50"))
     assert "GreaterThan(value,50.0)" in plan
+    plan = plan_of(QUERIES["avg_churn_quarter"](spark, SF_DIR))
+    assert "GreaterThanOrEqual(ts,2024-01-07T00:00" in plan and "LessThan(ts,2024-01-15T00:00" in plan
 
 
 def test_audit_is_one_shuffle_and_reads_required_columns_only(spark):
