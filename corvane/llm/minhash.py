@@ -37,6 +37,8 @@ SLOTS = CHUNKS * CHUNK_SLOTS
 _HASHES = anchors.mix(np.arange(1, SLOTS + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F)) | np.uint64(1)
 #: Shingles handled at once.
 BLOCK = 1 << 15
+#: Links of one partition while components are found.
+LINKS_OF_PART = 50_000
 #: Classes of a cluster that meet in one task, and shingles compared at once there.
 BLOCK_CLASSES, COLUMNS = 1024, 4096
 
@@ -147,6 +149,9 @@ def components(links: DataFrame) -> DataFrame:
     links are written to the shared folder after every step.
     """
     links = checkpointed(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u > v").distinct())
+    # steps keep about as many links as there are now; small ones need few files
+    parts = 1 + links.count() // LINKS_OF_PART
+    links = links.coalesce(parts)
     before = None
     while True:
         both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -155,7 +160,7 @@ def components(links: DataFrame) -> DataFrame:
         large = large.filter("u > v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        links = checkpointed(small.union(least.select("u", F.col("m").alias("v"))).distinct())
+        links = checkpointed(small.union(least.select("u", F.col("m").alias("v"))).distinct().coalesce(parts))
         state = links.agg(F.count("u"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:
             return links.select(F.col("u").alias("node"), F.col("v").alias("component"))
