@@ -1,26 +1,30 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
-Terms are words and their beginnings of 3 to 6 letters. A bounded, balanced
-sample of labelled documents (EXAMPLES of each label at most) gives the terms that
-mark toxic text, by the likelihood ratio of their document counts and until the
-toxic examples are covered, and the examples. How many documents hold a term is counted over the whole corpus.
-
-Examples lie in an inverted index by term, in blocks of BLOCK examples; each
-block knows the largest weight of each term in it. A text visits blocks by
-descending upper bound and stops once no block left can hold a nearer example
-than those found: the neighbours are exact. Their labels vote, weighted by
-cosine and by how many labelled documents an example stands for.
+Terms are words and their beginnings of 3 to 6 letters: all that occur in the
+examples, a bounded, balanced sample of labelled documents (EXAMPLES of each label
+at most). How many documents hold a term is counted over the whole corpus. A
+term's weight is 1 + log of its count, times its idf, times the root of the
+likelihood ratio by which its presence tells the labels of the examples apart, so
+that a few marking words are not drowned in a long text; no term is left out.
+
+Examples lie in blocks of BLOCK. Terms of many examples are a matrix that knows the
+largest weight in each block, the others are postings. A text's postings are summed
+first; with the largest weights they bound what a block can hold, and blocks that
+cannot hold a nearer example than those found are skipped: the neighbours are
+exact. Their labels vote, weighted by cosine and by how many labelled documents an
+example stands for.
 """
 
 from __future__ import annotations
 
 import unicodedata
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, fields
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,10 +34,13 @@ from corvane.llm.bpe import blocks
 
 #: Labelled documents of each label that serve as examples, at most.
 EXAMPLES = 2048
-TERMS = 512
-#: Terms looked at for that, and how often a toxic example is to be covered by them.
-CANDIDATES, COVERED = 8192, 3
+#: Added to the root of a term's likelihood ratio, so that every term has a weight.
+LEAST = 1e-3
 BLOCK = 32
+#: A term is of many examples if one in so many holds it.
+COMMON = 16
+#: Texts compared at once.
+BATCH = 64
 NEIGHBOURS = 15
 BEGINNINGS = (3, 4, 5, 6)
 #: Votes of no evidence: so much weight at the rate of the labels.
@@ -68,36 +75,60 @@ def term_counts(text: str, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Numbers of the known terms in a text and how often each occurs. ``terms`` is sorted."""
     if not len(terms):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    hashes = term_hashes(text)
+    hashes, counts = np.unique(term_hashes(text), return_counts=True)
     at = np.searchsorted(terms, hashes)
     at[at == len(terms)] = 0
-    return np.unique(at[terms[at] == hashes], return_counts=True)
+    known = terms[at] == hashes
+    return at[known], counts[known]
+
+
+def ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """All numbers of the ranges, one after the other."""
+    return np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
 
 
 @dataclass
 class Model:
     terms: np.ndarray  # sorted hashes
-    idf: np.ndarray
+    idf: np.ndarray  # times how well a term tells the labels apart
     ids: np.ndarray  # of the examples, and so on
     label: np.ndarray
     stands_for: np.ndarray
     rows: list[tuple[np.ndarray, np.ndarray]]  # term numbers and weights of each example
     rate: float
     empty_score: float
-    memo: dict = field(default_factory=dict)
 
     def __post_init__(self) -> None:
-        self.blocks = -(-len(self.ids) // BLOCK) if len(self.ids) else 0
-        self.most = np.zeros((len(self.terms), self.blocks))
-        sizes = [len(t) for t, _ in self.rows]
-        example = np.repeat(np.arange(len(self.rows)), sizes)
-        term = np.concatenate([t for t, _ in self.rows]) if self.rows else np.zeros(0, np.int64)
-        weight = np.concatenate([w for _, w in self.rows]) if self.rows else np.zeros(0)
-        order = np.lexsort((example, term))
+        self.index()
+
+    def __getstate__(self) -> dict:
+        return {f.name: getattr(self, f.name) for f in fields(self)}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self.index()
+
+    def index(self) -> None:
+        self.blocks = -(-len(self.ids) // BLOCK)
+        self.sizes = np.array([len(t) for t, _ in self.rows], np.int64)
+        self.begin = np.cumsum(self.sizes) - self.sizes
+        self.term = np.concatenate([t for t, _ in self.rows]) if self.rows else np.zeros(0, np.int64)
+        self.weight = np.concatenate([w for _, w in self.rows]) if self.rows else np.zeros(0)
+        example = np.repeat(np.arange(len(self.rows)), self.sizes)
+        held = np.bincount(self.term, minlength=len(self.terms))
+        self.common = np.full(len(self.terms), -1, np.int64)
+        many = np.flatnonzero(held * COMMON >= max(1, len(self.ids)))
+        self.common[many] = np.arange(len(many))
+        own = self.common[self.term] >= 0
+        self.matrix = np.zeros((len(many), self.blocks * BLOCK))
+        self.matrix[self.common[self.term[own]], example[own]] = self.weight[own]
+        self.most = self.matrix.reshape(len(many), self.blocks, BLOCK).max(2, initial=0)
+        term, example, weight = self.term[~own], example[~own], self.weight[~own]
+        order = np.argsort(term, kind="stable")
         self.post_example, self.post_weight = example[order], weight[order]
-        np.maximum.at(self.most, (term, example // BLOCK), weight)
-        slot = term[order] * max(1, self.blocks) + self.post_example // BLOCK
-        self.begin = np.searchsorted(slot, np.arange(len(self.terms) * max(1, self.blocks) + 1))
+        self.post_size = np.bincount(term, minlength=len(self.terms))
+        self.post_begin = np.cumsum(self.post_size) - self.post_size
+        self.asked = np.zeros(len(self.terms))
 
     def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         found, count = term_counts(text, self.terms)
@@ -106,81 +137,91 @@ class Model:
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray) -> list[tuple[float, int]]:
         """(cosine, example) of the nearest examples with a common term; ties to the lesser example."""
-        bound = weights @ self.most[terms]
-        best: list[tuple[float, int]] = []
-        for block in np.argsort(-bound, kind="stable").tolist():
-            if bound[block] <= 0 or (len(best) == NEIGHBOURS and bound[block] < best[-1][0] - 1e-9):
-                break
-            score = np.zeros(BLOCK)
-            for t, w in zip(terms.tolist(), weights.tolist(), strict=True):
-                slot = t * self.blocks + block
-                a, b = self.begin[slot], self.begin[slot + 1]
-                score[self.post_example[a:b] - block * BLOCK] += w * self.post_weight[a:b]
-            own = np.flatnonzero(score > 0)
-            best += [(round(float(score[k]), 12), block * BLOCK + k) for k in own.tolist()]
-            best.sort(key=lambda x: (-x[0], x[1]))
-            del best[NEIGHBOURS:]
-        return best
+        return self.nearest_all([(terms, weights)])[0]
+
+    def nearest_all(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> list[list[tuple[float, int]]]:
+        n, width = len(vectors), self.blocks * BLOCK
+        if not width:
+            return [[] for _ in vectors]
+        asked, sums = np.zeros((n, len(self.matrix))), np.zeros((n, width))
+        for k, (terms, weights) in enumerate(vectors):
+            common = self.common[terms]
+            asked[k, common[common >= 0]] = weights[common >= 0]
+            size = self.post_size[terms]
+            at = ranges(self.post_begin[terms], size)
+            sums[k] = np.bincount(self.post_example[at], np.repeat(weights, size) * self.post_weight[at], minlength=width)
+        bound = asked @ self.most + sums.reshape(n, self.blocks, BLOCK).max(2)
+        scored = np.zeros((n, self.blocks), bool)
+
+        def visit(wanted: np.ndarray) -> None:
+            for block in np.flatnonzero(wanted.any(0)).tolist():
+                own, part = np.flatnonzero(wanted[:, block]), slice(block * BLOCK, (block + 1) * BLOCK)
+                sums[own, part] += asked[own] @ self.matrix[:, part]
+            scored[wanted] = True
+
+        first = np.zeros((n, self.blocks), bool)
+        first[np.arange(n), bound.argmax(1)] = True
+        visit(first)
+        place = max(0, BLOCK - NEIGHBOURS)
+        reached = np.sort(sums.reshape(n, self.blocks, BLOCK)[first], 1)[:, place]
+        # rounding may differ in the last places: what is as near but for 1e-9 is compared below
+        visit(~scored & (bound > 0) & (bound >= reached[:, None] - 1e-9))
+        sums = np.where(np.repeat(scored, BLOCK, 1), sums, 0)
+        out = []
+        for (terms, weights), own in zip(vectors, sums, strict=True):
+            least = np.partition(own, width - min(width, NEIGHBOURS))[width - min(width, NEIGHBOURS)]
+            near = np.flatnonzero((own > 0) & (own >= least - 1e-9))
+            if not len(near):
+                out.append([])
+                continue
+            # summed again in the order of the example's terms, whatever the batch
+            self.asked[terms] = weights
+            at, size = ranges(self.begin[near], self.sizes[near]), self.sizes[near]
+            cosine = np.add.reduceat(self.asked[self.term[at]] * self.weight[at], np.cumsum(size) - size)
+            self.asked[terms] = 0
+            best = sorted(((round(float(c), 12), k) for c, k in zip(cosine, near.tolist(), strict=True) if c > 0), key=lambda x: (-x[0], x[1]))
+            out.append(best[:NEIGHBOURS])
+        return out
 
     def judge(self, text: str) -> tuple[float, list[tuple[int, float]]]:
         """Score and evidence: the ids of the nearest examples with their cosines."""
-        terms, weights = self.vector(text)
-        if not len(terms):
-            return self.empty_score, []
-        key = (terms.tobytes(), weights.tobytes())
-        if key not in self.memo:
-            if len(self.memo) > 20000:
-                self.memo.clear()
-            found = self.nearest(terms, weights)
-            near = np.array([k for _, k in found], np.int64)
-            vote = np.array([s for s, _ in found]) * self.stands_for[near]
-            score = (float((vote * self.label[near]).sum()) + PRIOR * self.rate) / (float(vote.sum()) + PRIOR)
-            self.memo[key] = (score, [(int(self.ids[k]), s) for s, k in found])
-        return self.memo[key]
-
-
-def covering(marked: list[list[int]], others: list[list[int]], n: int, most: int, least: float) -> list[int]:
-    """Terms, by number, that mark the one kind of documents, chosen one after the other.
-
-    Each is the one that best tells the marked documents not yet COVERED times
-    apart from all others. So terms that only come along with chosen ones, as the
-    words of one document in all of its copies do, are passed over. ``least`` is the
-    likelihood ratio a term must reach.
+        return self.judge_all([text])[0]
+
+    def judge_all(self, texts: list[str]) -> list[tuple[float, list[tuple[int, float]]]]:
+        distinct, made = list(dict.fromkeys(texts)), {}
+        for begin in range(0, len(distinct), BATCH):
+            part = distinct[begin : begin + BATCH]
+            vectors = [self.vector(t) for t in part]
+            for text, (terms, _), found in zip(part, vectors, self.nearest_all(vectors), strict=True):
+                if not len(terms):
+                    made[text] = (self.empty_score, [])
+                    continue
+                near = np.array([k for _, k in found], np.int64)
+                vote = np.array([s for s, _ in found]) * self.stands_for[near]
+                score = (float((vote * self.label[near]).sum()) + PRIOR * self.rate) / (float(vote.sum()) + PRIOR)
+                made[text] = (score, [(int(self.ids[k]), s) for s, k in found])
+        return [made[t] for t in texts]
+
+
+def telling(label: np.ndarray, owner: np.ndarray, term: np.ndarray, n: int) -> np.ndarray:
+    """The likelihood ratio by which each of ``n`` terms tells the labels of the examples apart.
+
+    ``owner`` and ``term`` say which example, by its place in ``label``, holds which term.
     """
-    inside = np.zeros((len(marked), n), bool)
-    for row, own in zip(inside, marked, strict=True):
-        row[own] = True
-    outside = np.bincount(np.array([t for own in others for t in own], np.int64), minlength=n)
-    covered = np.zeros(len(marked), np.int64)
-    left, open_ = inside.sum(0), len(marked)
-    chosen: list[int] = []
-    while len(chosen) < most and open_:
-        total, both = left + outside, open_ + len(others)
-        share = total / both
-        with np.errstate(divide="ignore", invalid="ignore"):
-            gains = (
-                np.where(k > 0, k * np.log(k / (m * part)), 0.0)
-                for k, m, part in (
-                    (left, open_, share), (outside, len(others), share),
-                    (open_ - left, open_, 1 - share), (len(others) - outside, len(others), 1 - share),
-                )
-            )
-            ratio = 2 * sum(gains)
-        ratio[left * len(others) <= outside * open_] = 0
-        ratio[chosen] = 0
-        term = int(np.argmax(ratio))
-        if not ratio[term] > least:
-            break
-        chosen.append(term)
-        now = np.flatnonzero(inside[:, term])
-        done = now[covered[now] == COVERED - 1]
-        covered[now] += 1
-        left = left - inside[done].sum(0)
-        open_ -= len(done)
-    return sorted(chosen)
-
-
-def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, terms: int = TERMS) -> Model:
+    n1 = float(label.sum())
+    n0 = len(label) - n1
+    k1 = np.bincount(term, label[owner], minlength=n)
+    k0 = np.bincount(term, minlength=n) - k1
+    share = (k1 + k0) / len(label)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        gains = (
+            np.where(k > 0, k * np.log(k / expected), 0.0)
+            for k, expected in ((k1, share * n1), (k0, share * n0), (n1 - k1, (1 - share) * n1), (n0 - k0, (1 - share) * n0))
+        )
+        return np.maximum(2 * sum(gains), 0)
+
+
+def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Model:
     """The model from ``labels`` (``doc_id``, ``toxic``) and the corpus they belong to.
 
     Rows with a null label or id do not count; a document labelled twice counts as
@@ -202,71 +243,50 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, terms: int
 
     def all_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in blocks(batches):
-            found = [np.unique(term_hashes(t)).view(np.int64) for t in texts]
-            yield pa.RecordBatch.from_arrays([part.column(1), pa.array(found, pa.list_(pa.int64()))], ["toxic", "terms"])
-
-    def known_terms(number: np.ndarray):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for part, texts in blocks(batches):
-                found = [term_counts(t, number) for t in texts]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), *(pa.array([x[k] for x in found], pa.list_(pa.int64())) for k in (0, 1))],
-                    ["doc_id", "toxic", "terms", "counts"],
-                )
-
-        return run
-
-    def holding(number: np.ndarray):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for _, texts in blocks(batches):
-                total = np.zeros(len(number) + 1, np.int64)
-                total[-1] = len(texts)
-                for text in texts:
-                    total[term_counts(text, number)[0]] += 1
-                own = np.flatnonzero(total)
-                yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(total[own])], ["term", "n"])
-
-        return run
-
-    counted = sample.select("doc_id", "toxic", "text").mapInArrow(all_terms, "toxic int, terms array<long>")
-    exploded = counted.select("toxic", F.explode("terms").alias("term")).groupBy("term").agg(
-        F.sum("toxic").alias("k1"), F.sum(1 - F.col("toxic")).alias("k0")
-    )
-    sizes = sample.agg(F.count("*").alias("n"), F.sum("toxic").alias("n1")).first()
-    n1, n0 = sizes.n1 or 0, sizes.n - (sizes.n1 or 0)
-    chosen = np.zeros(0, np.uint64)
-    if n1 and n0:
-        k1, k0, n = F.col("k1"), F.col("k0"), F.col("k1") + F.col("k0")
-
-        def gain(k, expected):
-            return F.when(k > 0, k * F.log(k / expected)).otherwise(F.lit(0.0))
-
-        share = n / F.lit(float(n1 + n0))
-        ratio = 2 * (gain(k1, share * n1) + gain(k0, share * n0) + gain(n1 - k1, (1 - share) * n1) + gain(n0 - k0, (1 - share) * n0))
-        scored = exploded.filter(k1 * n0 > k0 * n1).select("term", F.when(share < 1, ratio).otherwise(0.0).alias("ratio"))
-        # by chance alone, the best of as many terms as there are reaches about 2 ln(terms)
-        least = 2 * np.log(max(2, exploded.count()))
-        best = scored.filter(F.col("ratio") > float(least)).orderBy(F.desc("ratio"), "term").limit(CANDIDATES)
-        candidates = np.sort(np.array([r.term for r in best.collect()], np.int64).view(np.uint64))
-        # at most 2 * examples rows of at most CANDIDATES numbers
-        held = sample.select("doc_id", "toxic", "text").mapInArrow(
-            known_terms(candidates), "doc_id long, toxic int, terms array<long>, counts array<long>"
-        ).select("toxic", "terms").collect()
-        chosen = candidates[covering([r.terms for r in held if r.toxic], [r.terms for r in held if not r.toxic], len(candidates), terms, least)]
-    number = np.sort(np.array(chosen, np.uint64))
-    corpus = {r.term: r.n for r in docs.select("doc_id", "text").mapInArrow(holding(number), "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()}
-    total = corpus.get(len(number), 0)
-    idf = np.array([np.log((1 + total) / (1 + corpus.get(t, 0))) + 1 for t in range(len(number))])
-    rows = sample.select("doc_id", "toxic", "text").mapInArrow(
-        known_terms(number), "doc_id long, toxic int, terms array<long>, counts array<long>"
-    ).collect()  # at most 2 * examples rows of at most ``terms`` numbers
+            found = [np.unique(term_hashes(t), return_counts=True) for t in texts]
+            lists = (pa.array([x[k].view(np.int64) for x in found], pa.list_(pa.int64())) for k in (0, 1))
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *lists], ["doc_id", "toxic", "terms", "counts"])
+
+    # at most 2 * examples rows
+    held = sample.select("doc_id", "toxic", "text").mapInArrow(
+        all_terms, "doc_id long, toxic int, terms array<long>, counts array<long>"
+    ).toArrow().sort_by("doc_id").combine_chunks()
+    keys, label = held["doc_id"].to_numpy().astype(np.int64), held["toxic"].to_numpy().astype(np.int64)
+    hashes = held["terms"].combine_chunks().flatten().to_numpy().view(np.uint64)
+    counts = held["counts"].combine_chunks().flatten().to_numpy()
+    sizes = pc.list_value_length(held["terms"]).to_numpy().astype(np.int64)
+    owner = np.repeat(np.arange(len(keys)), sizes)
+    n1 = int(label.sum())
+    n0 = len(label) - n1
+    if not (n1 and n0):
+        owner, hashes, counts, sizes = owner[:0], hashes[:0], counts[:0], 0 * sizes
+    number, term = np.unique(hashes, return_inverse=True)
+    shared = docs.sparkSession.sparkContext.broadcast(number)
+
+    def holding(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = shared.value
+        total = np.zeros(len(number) + 1, np.int64)
+        for _, texts in blocks(batches):
+            total[-1] += len(texts)
+            for text in texts:
+                total[term_counts(text, number)[0]] += 1
+        own = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(total[own])], ["term", "n"])
+
+    known_by = docs.select("doc_id", "text").mapInArrow(holding, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    corpus = np.zeros(len(number) + 1, np.int64)
+    corpus[known_by["term"].to_numpy().astype(np.int64)] = known_by["n"].to_numpy()
+    idf = np.log((1 + corpus[-1]) / (1 + corpus[:-1])) + 1
+    if len(number):
+        idf *= np.sqrt(telling(label, owner, term, len(number))) + LEAST
     weight = {0: totals.get(0, 0) / max(1, n0), 1: totals.get(1, 0) / max(1, n1)}
     least_weight = min([w for w in weight.values() if w > 0], default=1.0)
-    vectors = []
-    for r in rows:
-        found, count = np.array(r.terms, np.int64), np.array(r.counts, np.float64)
-        w = (1 + np.log(count)) * idf[found] if len(found) else count
-        vectors.append((r.doc_id, r.toxic, found, w / np.sqrt((w**2).sum()) if len(found) else w))
+    raw = (1 + np.log(counts)) * idf[term]
+    vectors, begin = [], 0
+    for key, y, size in zip(keys.tolist(), label.tolist(), sizes.tolist(), strict=True):
+        found, w = term[begin : begin + size], raw[begin : begin + size]
+        vectors.append((key, y, found, w / np.sqrt((w**2).sum()) if size else w))
+        begin += size
     bare = [(weight[y], y) for _, y, t, _ in vectors if not len(t)]
     bare_weight = sum(w for w, _ in bare)
     empty = (sum(w * y for w, y in bare) + least_weight * rate) / (bare_weight + least_weight)
@@ -276,21 +296,22 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, terms: int
         number, idf,
         np.array([x[0] for x in filled], np.int64), np.array([x[1] for x in filled], np.int64),
         np.array([weight[x[1]] / least_weight for x in filled]), [(x[2], x[3]) for x in filled],
-        rate, empty if rows else rate,
+        rate, empty if len(keys) else rate,
     )
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id``, ``score`` (0 to 1) and ``evidence``: nearest examples and their cosines.
 
-    A null text is empty; a text without any marking term gets the rate of such
-    examples. In place: nothing is shuffled.
+    A null text is empty; a text without any term of the examples gets the rate of
+    such examples. In place: nothing is shuffled.
     """
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("example", pa.int64()), ("cosine", pa.float64())]))
         for part, texts in blocks(batches):
-            judged = [model.judge(t) for t in texts]
+            judged = shared.value.judge_all(texts)
             evidence = [[{"example": k, "cosine": s} for k, s in found] for _, found in judged]
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array([s for s, _ in judged], pa.float64()), pa.array(evidence, kind)],
@@ -304,10 +325,11 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 def with_score(docs: DataFrame, model: Model, name: str = "toxicity_score") -> DataFrame:
     """``docs`` with all their columns and the score of each ``text`` as a further one."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in blocks(batches):
-            found = pa.array([model.judge(t)[0] for t in texts], pa.float64())
+            found = pa.array([s for s, _ in shared.value.judge_all(texts)], pa.float64())
             yield pa.RecordBatch.from_arrays([*part.columns, found], [*part.schema.names, name])
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))

@@ -54,3 +54,20 @@ def test_without_labels_or_texts(spark):
     assert len(toxicity.score(docs, toxicity.fit(docs, one)).collect()) == 3
     empty = docs.limit(0)
     assert toxicity.score(empty, toxicity.fit(empty, one)).collect() == []
+
+
+def test_all_terms_of_all_examples_count(spark):
+    """Words that only come along with others, and words of clean text alone, are in the vectors."""
+    rows = [(k, f"brask vonder smeel w{k}") for k in range(20)] + [(20 + k, f"calm field river v{k}") for k in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k < 20)) for k in range(40)], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    for word in ("brask", "vonder", "smeel", "calm", "field", "river", "w7", "v7"):
+        terms, _ = model.vector(word)
+        assert len(terms), word
+        score, evidence = model.judge(word)
+        assert evidence and (score > 0.5) == (word in ("brask", "vonder", "smeel", "w7")), (word, score)
+    want = {h for _, t in rows for h in toxicity.term_hashes(t).tolist()}
+    assert set(model.terms.tolist()) == want
+    one = model.judge_all([t for _, t in rows])
+    assert one == [model.judge(t) for _, t in rows]
