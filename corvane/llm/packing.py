@@ -5,8 +5,9 @@ every shorter document, is one piece. Pieces are dealt by a hash of document and
 start into groups of about ``GROUP_DOCS`` documents, so no source, document or
 length can crowd one. Within a group pieces go from the longest to the shortest
 into the open window with the least room that still fits, which a segment tree
-over remaining capacity finds in log2(window) steps. Only lengths and checksums
-are shuffled, never text or ids.
+over remaining capacity finds in log2(window) steps. ``windows`` writes the ids of
+every window, padded, and shuffles the ids of each piece once; ``pack`` gives places
+alone and shuffles only lengths and checksums.
 
 The padding lost is at most a window or so per group, well under one percent.
 """
@@ -30,8 +31,11 @@ WINDOW = 2048
 #: Documents of one packing group, on average.
 GROUP_DOCS = 1024
 END_ID = 1
+#: Fills a window behind its last piece.
+PAD_ID = 0
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary"
 PLACED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+FILLED = f"{PLACED}, window_ids binary"
 
 
 @lru_cache(1)
@@ -133,19 +137,52 @@ def pack(cut: DataFrame, documents: int, window: int = WINDOW) -> DataFrame:
     of groups. Pieces that are alike in every column may trade places; nothing
     else depends on the order of rows. No pieces, no rows.
     """
-    groups = max(1, -(-documents // GROUP_DOCS))
 
     def place(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(
-            ["length", "doc_id", "start", "ids_crc32", "doc_tokens"], ascending=[False, True, True, True, True]
-        )
-        number, offset, _ = best_fit(frame["length"].to_numpy(), window)
-        frame["sequence_id"] = (frame["packing_group"].to_numpy() << 32) + number
-        frame["offset"] = offset
-        return frame.drop(columns="packing_group")
-
-    dealt = cut.select(
-        "doc_id", "start", "length", "ids_crc32", "doc_tokens",
+        return placed(frame, window)[0].drop(columns="packing_group")
+
+    return dealt(cut, documents).groupBy("packing_group").applyInPandas(place, PLACED)
+
+
+def windows(cut: DataFrame, documents: int, window: int = WINDOW) -> DataFrame:
+    """The places that ``pack`` gives, and the packed windows themselves.
+
+    ``cut`` holds ``ids``. The row of the first piece of each window (``offset`` 0)
+    carries the whole window as ``window_ids``, little-endian unsigned 32-bit ids,
+    PAD_ID behind the last piece; it is null in other rows. ``ids_crc32`` is taken
+    from the filled window.
+    """
+
+    def fill(frame: pd.DataFrame) -> pd.DataFrame:
+        frame, used = placed(frame, window)
+        filled = np.full((used, window), PAD_ID, "<u4")
+        raws, sums = [], []
+        number = (frame["sequence_id"] & 0xFFFFFFFF).to_numpy()
+        for ids, row, at, length in zip(frame["ids"], number, frame["offset"], frame["length"], strict=True):
+            filled[row, at : at + length] = np.frombuffer(ids, "<u4")
+        for row, at, length in zip(number, frame["offset"], frame["length"], strict=True):
+            raws.append(None if at else filled[row].tobytes())
+            sums.append(zlib.crc32(filled[row, at : at + length]))
+        frame["ids_crc32"], frame["window_ids"] = sums, raws
+        return frame.drop(columns=["packing_group", "ids"])
+
+    return dealt(cut, documents, "ids").groupBy("packing_group").applyInPandas(fill, FILLED)
+
+
+def dealt(cut: DataFrame, documents: int, *more: str) -> DataFrame:
+    groups = max(1, -(-documents // GROUP_DOCS))
+    return cut.select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", *more,
         F.pmod(F.xxhash64("doc_id", "start"), F.lit(groups)).alias("packing_group"),
     )
-    return dealt.groupBy("packing_group").applyInPandas(place, PLACED)
+
+
+def placed(frame: pd.DataFrame, window: int) -> tuple[pd.DataFrame, int]:
+    """A group's pieces with their places, and the number of its windows."""
+    frame = frame.sort_values(
+        ["length", "doc_id", "start", "ids_crc32", "doc_tokens"], ascending=[False, True, True, True, True]
+    )
+    number, offset, used = best_fit(frame["length"].to_numpy(), window)
+    frame["sequence_id"] = (frame["packing_group"].to_numpy() << 32) + number
+    frame["offset"] = offset
+    return frame, used

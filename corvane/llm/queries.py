@@ -34,8 +34,8 @@ def query(plan):
 @query
 def op2_packing(spark, sf_dir):
     docs = texts(read(spark, sf_dir, "documents"))
-    cut = packing.pieces(docs, public_tokenizers.path("byte_bpe_50k.json"))
-    return packing.pack(cut, docs.count())
+    cut = packing.pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), with_ids=True)
+    return packing.windows(cut, docs.count()).drop("window_ids")
 
 
 @query

@@ -66,6 +66,11 @@ def test_pipeline(spark):
         for r in own:
             assert r.ids_crc32 == zlib.crc32(ids[r.start : r.start + r.length].tobytes())
 
+    packed = {r.sequence_id: np.frombuffer(r.window_ids, "<u4") for r in seen[3][2] if r.window_ids is not None}
+    for key, own in pieces.items():
+        ids = [*library.encode(want[key], add_special_tokens=False).ids, 1]
+        assert [i for r in own for i in packed[r.sequence_id][r.offset : r.offset + r.length].tolist()] == ids
+
     ran = corpus_pipeline.run(spark, SF).collect()
     key = lambda r: (r.doc_id, r.start)
     assert [r[:5] for r in sorted(ran, key=key)] == [r[:5] for r in sorted(seen[3][2], key=key)]

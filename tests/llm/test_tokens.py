@@ -102,6 +102,26 @@ def test_packing(spark, library, monkeypatch):
     assert full / (64 * len(windows)) > 0.9
 
 
+def test_windows_hold_the_ids(spark, library, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP_DOCS", 20)
+    given = [*mixed(60, 5), None]
+    docs = spark.createDataFrame(list(enumerate(given)), "doc_id long, text string").repartition(3)
+    rows = packing.windows(packing.pieces(docs, PATH, 64, with_ids=True), docs.count(), 64).collect()
+    packed = {r.sequence_id: np.frombuffer(r.window_ids, "<u4") for r in rows if r.window_ids is not None}
+    assert len(packed) == sum(r.offset == 0 for r in rows) == len({r.sequence_id for r in rows})
+    left = {k: w.copy() for k, w in packed.items()}
+    for key, text in enumerate(given):
+        ids = [*library.encode(text or "", add_special_tokens=False).ids, 1]
+        own = sorted((r for r in rows if r.doc_id == key), key=lambda r: r.start)
+        assert [i for r in own for i in packed[r.sequence_id][r.offset : r.offset + r.length].tolist()] == ids
+        for r in own:
+            assert r.ids_crc32 == zlib.crc32(packed[r.sequence_id][r.offset : r.offset + r.length].tobytes())
+            left[r.sequence_id][r.offset : r.offset + r.length] = packing.PAD_ID
+    assert all(len(w) == 64 and (w == packing.PAD_ID).all() for w in left.values())
+    places = packing.pack(packing.pieces(docs, PATH, 64), docs.count(), 64).collect()
+    assert sorted(tuple(r) for r in places) == sorted(tuple(r)[:7] for r in rows)
+
+
 def test_packing_of_nothing(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert packing.pack(packing.pieces(docs, PATH), 0).collect() == []
