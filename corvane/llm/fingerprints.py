@@ -8,8 +8,8 @@ subtracting its vector.
 The first DENSE lanes (modulo 2**32) get a value from every paragraph and decide
 equality. The others (modulo 2**8) are LEVELS levels of WIDTH lanes: a paragraph
 falls into one lane of level 0, and with half the chance of one level also into
-the next. Some level holds about as many paragraphs as lanes, however long a text
-is; the share of its lanes that agree tells how alike two texts are.
+the next. The last level takes one paragraph in 2**25, so for any text a string can
+hold some level holds about as many paragraphs as lanes; the share of its lanes that agree tells how alike two texts are.
 
 Everything is column expressions.
 """
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from corvane.llm.tables import ranked
 
-DENSE, LEVELS, WIDTH = 8, 10, 32
+DENSE, LEVELS, WIDTH = 8, 26, 32
 DENSE_MASK, MASK = (1 << 32) - 1, (1 << 8) - 1
 LANES = DENSE + LEVELS * WIDTH
 #: A level is read if so many of its lanes or fewer are filled.
@@ -68,11 +68,13 @@ def vector(text: Column, separator: str = LINES) -> Column:
             chosen = F.filter(own, lambda x: x["h"].bitwiseAND(F.lit((1 << k) - 1)) == 0)
             return once(
                 chosen,
-                lambda own: F.transform(
-                    places,
-                    lambda j: total(
-                        F.filter(own, lambda x: x["lane"] == j), lambda x: x["value"]
-                    ).bitwiseAND(F.lit(MASK)),
+                lambda own: F.when(F.size(own) == 0, F.array_repeat(F.lit(0).cast("long"), WIDTH)).otherwise(
+                    F.transform(
+                        places,
+                        lambda j: total(
+                            F.filter(own, lambda x: x["lane"] == j), lambda x: x["value"]
+                        ).bitwiseAND(F.lit(MASK)),
+                    )
                 ),
             )
 

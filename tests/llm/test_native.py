@@ -87,6 +87,14 @@ def test_likeness_follows_the_share_of_common_paragraphs(spark):
         assert got[n, 0.0] < 0.05 < 0.2 < got[n, 0.5] < got[n, 0.9] - 0.15, got
 
 
+def test_likeness_of_very_long_texts(spark):
+    """Half of 100,000 paragraphs replaced: a third of all paragraphs of both is common."""
+    text = lambda t, cut: F.concat_ws("\n", F.transform(F.sequence(F.lit(1), F.lit(100_000)), lambda k: F.concat_ws(" ", t, F.when(k > cut, F.lit("other")), k)))
+    df = spark.range(8).repartition(8).select(fp.vector(text(F.col("id"), 100_000)).alias("a"), fp.vector(text(F.col("id"), 50_000)).alias("b"))
+    got = df.select(F.avg(fp.likeness(F.col("a"), F.col("b"))).alias("x")).first().x
+    assert 0.2 < got < 0.45, got
+
+
 def norm(x):
     return re.sub(r"[ \t\n\x0b\f\r]+", " ", x).lower().strip(" ")
 
