@@ -98,17 +98,14 @@ class Model:
     rate: float
     empty_score: float
 
-    def __post_init__(self) -> None:
-        self.index()
+    #: The index is made where it is first used, not on the driver.
+    indexed = False
 
     def __getstate__(self) -> dict:
         return {f.name: getattr(self, f.name) for f in fields(self)}
 
-    def __setstate__(self, state: dict) -> None:
-        self.__dict__.update(state)
-        self.index()
-
     def index(self) -> None:
+        self.indexed = True
         self.blocks = -(-len(self.ids) // BLOCK)
         self.sizes = np.array([len(t) for t, _ in self.rows], np.int64)
         self.begin = np.cumsum(self.sizes) - self.sizes
@@ -140,6 +137,8 @@ class Model:
         return self.nearest_all([(terms, weights)])[0]
 
     def nearest_all(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> list[list[tuple[float, int]]]:
+        if not self.indexed:
+            self.index()
         n, width = len(vectors), self.blocks * BLOCK
         if not width:
             return [[] for _ in vectors]
@@ -255,12 +254,15 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Model:
     hashes = held["terms"].combine_chunks().flatten().to_numpy().view(np.uint64)
     counts = held["counts"].combine_chunks().flatten().to_numpy()
     sizes = pc.list_value_length(held["terms"]).to_numpy().astype(np.int64)
-    owner = np.repeat(np.arange(len(keys)), sizes)
+    del held
+    owner = np.repeat(np.arange(len(keys), dtype=np.int32), sizes)
     n1 = int(label.sum())
     n0 = len(label) - n1
     if not (n1 and n0):
         owner, hashes, counts, sizes = owner[:0], hashes[:0], counts[:0], 0 * sizes
-    number, term = np.unique(hashes, return_inverse=True)
+    number = np.unique(hashes)
+    term = np.searchsorted(number, hashes).astype(np.int32)
+    del hashes
     shared = docs.sparkSession.sparkContext.broadcast(number)
 
     def holding(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -279,9 +281,11 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Model:
     idf = np.log((1 + corpus[-1]) / (1 + corpus[:-1])) + 1
     if len(number):
         idf *= np.sqrt(telling(label, owner, term, len(number))) + LEAST
+    del owner
     weight = {0: totals.get(0, 0) / max(1, n0), 1: totals.get(1, 0) / max(1, n1)}
     least_weight = min([w for w in weight.values() if w > 0], default=1.0)
     raw = (1 + np.log(counts)) * idf[term]
+    del counts
     vectors, begin = [], 0
     for key, y, size in zip(keys.tolist(), label.tolist(), sizes.tolist(), strict=True):
         found, w = term[begin : begin + size], raw[begin : begin + size]
