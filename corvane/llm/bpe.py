@@ -48,6 +48,7 @@ def byte_alphabet() -> dict[str, int]:
 
 class MergeAutomaton:
     def __init__(self, path: str):
+        self.path, self.splitter = path, None
         with open(path, encoding="utf-8") as file:
             given = json.load(file)
         alphabet = byte_alphabet()
@@ -125,7 +126,19 @@ class MergeAutomaton:
         return out[::-1]
 
     def encode_all(self, pieces: list[str]) -> list[list[int]]:
-        return [self.encode(p.encode()) for p in pieces]
+        return [
+            [i for part in self.split(p) for i in self.encode(part.encode())]
+            if words.has_unknown(p)
+            else self.encode(p.encode())
+            for p in pieces
+        ]
+
+    def split(self, piece: str) -> list[str]:
+        """A word with signs that ``words`` has no class for, split as the library does."""
+        from tokenizers import Tokenizer
+
+        self.splitter = self.splitter or Tokenizer.from_file(self.path).pre_tokenizer
+        return [piece[a:b] for _, (a, b) in self.splitter.pre_tokenize_str(piece)]
 
     def emit(self, ids: np.ndarray) -> bytes:
         sizes = self.label_size[ids]

@@ -50,10 +50,7 @@ def tokenizer(path: str):
     given.no_padding()
     special = {t.content: i for i, t in given.get_added_tokens_decoder().items()}
 
-    def encode(pieces: list[str]) -> list[list[int]]:
-        return [x.ids for x in given.encode_batch_fast(pieces, add_special_tokens=False)]
-
-    return words.PieceTable(encode), special
+    return words.PieceTable(words.byte_level(given)), special
 
 
 def pieces(docs: DataFrame, path: str, window: int = WINDOW, with_ids: bool = False) -> DataFrame:

@@ -15,6 +15,7 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 SIGNS = [
     "it's", " 's", "'re", "'''s", "\n\n a", "  \t b", "é è", "12a 3", "日本 語", "😀👍", "<|endoftext|>", "aaaaaaa",
     "'d'd", "don't", "we've ", "\u0085", "ⅷ²", "\x1c", "...!!?", " ", "   ", " x", "'S", "\r\n", "'",
+    "\u1c89", "\U000105c0a", "\ua7da!",
 ]
 
 
@@ -40,6 +41,24 @@ def test_ids_equal_the_library(library):
         assert automaton.emit(own).decode("utf-8", "replace") == library.decode(want, skip_special_tokens=False)
 
 
+def thue_morse(n):
+    """Two words of 2**n signs, nowhere equal, which any polynomial hash modulo 2**64 takes for one from n = 10 on."""
+    a, b = "a", "b"
+    for _ in range(n):
+        a, b = a + b, b + a
+    return a, b
+
+
+@pytest.mark.parametrize("n", [10, 11])
+def test_hashes_decide_nothing(library, n):
+    a, b = thue_morse(n)
+    _, special = packing.tokenizer(PATH)
+    for table in (bpe.compiled(PATH)[1], packing.tokenizer(PATH)[0]):
+        for given in ([a, b], [b], [f"{b} x {a} {a}", a]):
+            ids, _ = table.ids_of(given, special)
+            assert ids.tolist() == [i for t in given for i in library.encode(t, add_special_tokens=False).ids]
+
+
 def test_slices_and_forgetting_change_nothing(library, monkeypatch):
     automaton, _ = bpe.compiled(PATH)
     monkeypatch.setattr(words, "SLICE", 50)
