@@ -17,10 +17,11 @@ from corvane.llm import (
     quotes,
     substring,
     suffixes,
+    tokenstore,
     topk,
     toxicity,
 )
-from corvane.llm.tables import read, texts
+from corvane.llm.tables import fresh_folder, read, texts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -100,6 +101,15 @@ def op5_fingerprints(spark, sf_dir):
     )
 
 
+@query
+def op11_tokenstore(spark, sf_dir):
+    docs = texts(read(spark, sf_dir, "documents"))
+    path = public_tokenizers.path("word_bpe_49k.json")
+    store = tokenstore.write(docs, fresh_folder(spark, "tokens"), path, end_id=2)
+    found = tokenstore.lookup(store, docs.select("doc_id"))
+    return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 @query
 def op1_topk(spark, sf_dir):
     vectors = topk.integer_vectors(read(spark, sf_dir, "embeddings"), "embedding")
