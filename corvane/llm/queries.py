@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvane.llm import (
+    alignment,
     bpe,
     fingerprints,
     licenses,
@@ -110,6 +111,12 @@ def op11_tokenstore(spark, sf_dir):
     return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@query
+def op12_alignment(spark, sf_dir):
+    a, b = map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.align(read(spark, sf_dir, "documents"), a, b).drop("groups")
+
+
 @query
 def op1_topk(spark, sf_dir):
     vectors = topk.integer_vectors(read(spark, sf_dir, "embeddings"), "embedding")

@@ -21,10 +21,10 @@ import numpy as np
 SPACE, LETTER, DIGIT, OTHER, STOP, UNKNOWN = range(6)
 #: White space as the pattern's ``\\s`` has it.
 WHITE = [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
-#: Longer texts are cut before a single white space between two signs, where a piece always begins.
+#: Longer texts are cut before a single space or line break between two signs, where a piece always begins.
 SLICE = 1 << 18
 SPACES = "".join(map(chr, WHITE))
-_CUT = re.compile(f"(?<=[^{SPACES}])(?=[{SPACES}][^{SPACES}])")
+_CUT = re.compile(f"(?<=[^{SPACES}])(?=[ \\n][^{SPACES}])")
 #: Odd, so that it can be inverted modulo 2**64.
 BASE = 0x9E3779B97F4A7C15
 
