@@ -182,7 +182,7 @@ class Aligned:
         self.last_a[self.link_a[cut]] = True
         self.last_b[self.link_b[cut]] = True
         self.n_groups = np.bincount(doc_a[self.last_a], minlength=len(given))
-        self.ids = max(len(a_size), len(b_size))
+        self.ids_a, self.ids_b = len(a_size), len(b_size)
 
     def groups(self) -> list[bytes]:
         """Each text's groups, ``a1,a2|b1;a3|b2,b3``: ids of A and B in order; empty without tokens."""
@@ -191,7 +191,7 @@ class Aligned:
         a_before = np.flatnonzero(self.last_a) + 1  # tokens of A up to the end of each group
         b_before = np.append(0, np.flatnonzero(self.last_b) + 1)  # tokens of B before each group
         text = np.zeros(len(self.a) + len(self.b), np.uint64)
-        pool = written(self.ids)
+        pool = written(max(self.ids_a, self.ids_b))
         text[np.arange(len(self.a)) + b_before[in_a]] = pool[3 * self.a.astype(np.int64) + self.last_a]
         text[np.arange(len(self.b)) + a_before[in_b]] = pool[3 * self.b.astype(np.int64) + 2 * self.last_b]
         signs = text.view(np.uint8)
@@ -204,10 +204,12 @@ class Aligned:
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Distinct (text, id pair) in order of texts: the text, the pair (A's id << 32 | B's), and its links."""
-        pair = self.a[self.link_a].astype(np.uint64) << np.uint64(32) | self.b[self.link_b]
-        known, number = np.unique(pair, return_inverse=True)
-        key, times = np.unique(self.link_doc.astype(np.uint64) * np.uint64(len(known) + 1) + number.astype(np.uint64), return_counts=True)
-        return (key // np.uint64(len(known) + 1)).astype(np.int64), known[key % np.uint64(len(known) + 1)], times
+        n_b = np.uint64(self.ids_b)
+        n = np.uint64(self.ids_a) * n_b
+        pair = self.a[self.link_a].astype(np.uint64) * n_b + self.b[self.link_b]
+        key, times = np.unique(self.link_doc.astype(np.uint64) * n + pair, return_counts=True)
+        pair = key % n
+        return (key // n).astype(np.int64), (pair // n_b) << np.uint64(32) | pair % n_b, times
 
 
 def align(docs: DataFrame, a_path: str, b_path: str, with_groups: bool = False) -> DataFrame:

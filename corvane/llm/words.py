@@ -75,13 +75,13 @@ def byte_level(given) -> Callable[[list[str]], list[list[int]]]:
     rest = [b for b in range(256) if b not in set(plain)]
     written = {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(rest)}
 
+    def one(piece: str) -> list[int]:
+        return [t.id for t in model.tokenize(piece.encode().decode("latin-1").translate(written))]
+
     def encode(pieces: list[str]) -> list[list[int]]:
-        return [
-            given.encode(p, add_special_tokens=False).ids
-            if has_unknown(p)
-            else [t.id for t in model.tokenize(p.encode().decode("latin-1").translate(written))]
-            for p in pieces
-        ]
+        if not has_unknown("".join(pieces)):
+            return [one(p) for p in pieces]
+        return [given.encode(p, add_special_tokens=False).ids if has_unknown(p) else one(p) for p in pieces]
 
     return encode
 
@@ -217,9 +217,9 @@ class PieceTable:
             open_ = open_[~hit & (held != 0)]
         return found
 
-    def add(self, key: np.ndarray, codes: list[np.ndarray], ids: list[list[int]]) -> None:
-        """``key``: distinct and not held yet; ``codes``: the signs of each piece."""
-        n, total, signs = len(key), sum(map(len, ids)), sum(map(len, codes))
+    def add(self, key: np.ndarray, sizes: np.ndarray, codes: np.ndarray, ids: list[list[int]]) -> None:
+        """``key``: distinct and not held yet; ``codes``: the signs of all pieces, so many as ``sizes`` says."""
+        n, total, signs = len(key), sum(map(len, ids)), len(codes)
         for name in ("spelled", "signs", "begin", "count"):
             old = getattr(self, name)
             if self.n + n > len(old):
@@ -229,13 +229,11 @@ class PieceTable:
         if self.spelled_to + signs > len(self.codes):
             self.codes = np.resize(self.codes, 2 * (self.spelled_to + signs))
         counts = np.fromiter(map(len, ids), np.int32, n)
-        sizes = np.fromiter(map(len, codes), np.int32, n)
         self.count[self.n : self.n + n], self.signs[self.n : self.n + n] = counts, sizes
         self.begin[self.n : self.n + n] = self.used + np.cumsum(counts) - counts
         self.spelled[self.n : self.n + n] = self.spelled_to + np.cumsum(sizes) - sizes
         self.ids[self.used : self.used + total] = np.fromiter(chain.from_iterable(ids), np.uint32, total)
-        if signs:
-            self.codes[self.spelled_to : self.spelled_to + signs] = np.concatenate(codes)
+        self.codes[self.spelled_to : self.spelled_to + signs] = codes
         self.used += total
         self.spelled_to += signs
         left, slot = np.arange(n), self._slot(key)
@@ -305,8 +303,10 @@ class PieceTable:
                 _, at = np.unique(key[piece], return_index=True)
                 new = piece[at]
                 self.clear(len(new))
-            made = self.encode([whole[first[i] : ends[i]] for i in new])
-            self.add(key[new], [code[first[i] : ends[i]] for i in new], made)
+            made = self.encode([whole[a:b] for a, b in zip(first[new].tolist(), ends[new].tolist(), strict=True)])
+            sizes = ends[new] - first[new]
+            signs = np.repeat(first[new] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+            self.add(key[new], sizes, code[signs], made)
             entry = self.find(key[piece])
         counts = np.zeros(len(first), np.int64)
         begin = np.zeros(len(first), np.int64)
