@@ -15,6 +15,7 @@ from corvane.llm import (
     licenses,
     minhash,
     packing,
+    periodic,
     quotes,
     substring,
     suffixes,
@@ -117,6 +118,24 @@ def op12_alignment(spark, sf_dir):
     return alignment.align(read(spark, sf_dir, "documents"), a, b).drop("groups")
 
 
+@query
+def op13_periodic(spark, sf_dir):
+    docs = texts(read(spark, sf_dir, "documents")).withColumn("h", F.crc32(F.col("doc_id").cast("string")))
+    words = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(0))
+    split = docs.withColumn("w", F.when(F.expr("h % 10 = 0"), words))
+    planned = split.selectExpr("*", "h div 10 % size(w) AS a").selectExpr("*", "1 + (size(w) - a) div (3 + h div 10 % 8) AS p")
+    again = "array_join(transform(w, (x, i) -> IF(i < a, x, w[cast(a + (i - a) % p as int)])), ' ')"
+    found = periodic.collapse(planned.selectExpr("doc_id", f"CASE WHEN size(w) > 0 THEN {again} ELSE text END AS text"))
+    line = "concat(r.start, ',', r.length, ',', r.period, '\n')"
+    return found.selectExpr(
+        "doc_id", "cast(size(runs) as long) AS n_runs",
+        "strongest.start AS start", "strongest.length AS length", "strongest.period AS period",
+        "1000 * strongest.length div strongest.period AS exponent_milli",
+        f"sha2(array_join(transform(runs, r -> {line}), ''), 256) AS runs_sha256",
+        "sha2(collapsed, 256) AS collapsed_sha256",
+    )
+
+
 @query
 def op1_topk(spark, sf_dir):
     vectors = topk.integer_vectors(read(spark, sf_dir, "embeddings"), "embedding")
