@@ -28,7 +28,7 @@ from corvane.llm.tables import texts
 
 #: A run is at least so many words long, and so many times its period.
 MIN_WORDS, MIN_REPEATS = 6, 4
-#: Places of the Euler tour that share one entry of the table for range minima.
+#: Turns of the Euler tour that share one entry of the table for range minima.
 BLOCK = 16
 RUN = pa.struct([("start", pa.int64()), ("length", pa.int64()), ("period", pa.int64())])
 _RUN = "struct<start: long, length: long, period: long>"
@@ -76,10 +76,10 @@ class SuffixTree:
 
     def __init__(self, signs: list[int]):
         n = len(signs)
-        self.signs, self.base = signs, 1 + max(signs)
-        base = self.base
+        self.n, base = n, 1 + max(signs)
         arcs: dict[int, int] = {}  # node * base + sign -> node
         first, last, link = [0], [0], [0]
+        depth = [0]  # in signs, -1 for leaves, which appear in the order of their suffixes
         node = edge = length = left = 0
         for i, sign in enumerate(signs):
             left += 1
@@ -94,6 +94,7 @@ class SuffixTree:
                     first.append(i)
                     last.append(n)
                     link.append(0)
+                    depth.append(-1)
                     if made:
                         link[made] = node
                         made = 0
@@ -114,6 +115,7 @@ class SuffixTree:
                     first += (first[below], i)
                     last += (at, n)
                     link += (0, 0)
+                    depth += (left - 1, -1)
                     arcs[key] = split
                     arcs[split * base + sign] = split + 1
                     arcs[split * base + signs[at]] = below
@@ -129,61 +131,51 @@ class SuffixTree:
                     edge = i - left + 1
         keys = np.fromiter(arcs.keys(), np.int64, len(arcs))
         self.child = np.fromiter(arcs.values(), np.int64, len(arcs))
-        self.parent, self.sign = keys // base, keys % base
-        self.size = (np.array(last) - np.array(first)).tolist()
-
-    def _ordered(self, falling: bool) -> tuple[list[int], list[int]]:
-        """Children of all nodes, node by node in the order of their signs, and where each node's begin.
-
-        The sign that stands only at the end comes first in either order.
-        """
-        rank = -self.sign if falling else self.sign
-        rank = np.where(self.sign == self.signs[-1], -self.base, rank)
-        order = np.lexsort((rank, self.parent))
-        begin = np.searchsorted(self.parent[order], np.arange(len(self.size) + 1))
-        return self.child[order].tolist(), begin.tolist()
-
-    def suffixes(self, falling: bool = False) -> np.ndarray:
-        """Where the suffixes start, from the least to the greatest, in the order of signs or its reverse."""
-        child, begin = self._ordered(falling)
-        n, size, depth, stack, out = len(self.signs), self.size, [0] * len(self.size), [0], []
+        self.above, sign = keys // base, keys % base
+        self.sign = np.where(sign == signs[-1], -base, sign)  # the end comes first in either order
+        self.depth = np.array(depth)
+        self.parent = np.empty(len(depth), np.int64)
+        self.parent[self.child] = self.above
+        self.leaf = self.depth < 0
+        self.suffix = np.cumsum(self.leaf) - 1
+
+    def preorder(self, falling: bool = False) -> np.ndarray:
+        """Nodes in the order of their words, or of those by the reversed order of signs."""
+        rank = np.where(self.sign < 0, self.sign, -self.sign) if falling else self.sign
+        order = np.lexsort((-rank, self.above))
+        child, begin = self.child[order].tolist(), np.searchsorted(self.above[order], np.arange(len(self.depth) + 1)).tolist()
+        leaf, stack, out = self.leaf.tolist(), [0], []
         while stack:
             node = stack.pop()
-            below = child[begin[node] : begin[node + 1]]
-            if not below:
-                out.append(n - depth[node])
-                continue
-            for other in below:
-                depth[other] = depth[node] + size[other]
-            below.reverse()
-            stack += below
+            out.append(node)
+            if not leaf[node]:
+                stack += child[begin[node] : begin[node + 1]]
         return np.array(out)
 
-    def tour(self) -> None:
-        """The Euler tour, as depths in signs, with the place of each suffix's leaf."""
-        child, begin = self._ordered(False)
-        n, size, depth, stack = len(self.signs), self.size, [0] * len(self.size), [0]
-        tour, leaf = [], [0] * n
-        while stack:
-            node = stack.pop()
-            if node < 0:  # back from a child
-                tour.append(depth[~node])
-                continue
-            deep = depth[node]
-            below = child[begin[node] : begin[node + 1]]
-            if not below:
-                leaf[n - deep] = len(tour)
-            tour.append(deep)
-            for other in reversed(below):
-                depth[other] = deep + size[other]
-                stack.append(~node)
-                stack.append(other)
-        self.leaf, self.depths = np.array(leaf), RangeMin(np.array(tour, np.int32))
+    def suffixes(self, falling: bool = False) -> np.ndarray:
+        """Where the suffixes start, from the least to the greatest."""
+        order = self.preorder(falling)
+        return self.suffix[order[self.leaf[order]]]
+
+    def tour(self) -> np.ndarray:
+        """Readies ``common``; gives the suffixes in order.
+
+        Of the Euler tour only the turns between neighbouring leaves are kept: the tour climbs from a leaf to the
+        parent of the node that follows the leaf in preorder, and the least depth between two leaves is at a turn.
+        """
+        order = self.preorder()
+        leaves = np.flatnonzero(self.leaf[order])
+        turns = self.depth[self.parent[order[leaves[:-1] + 1]]]
+        self.depths = RangeMin(np.append(0, turns))
+        found = self.suffix[order[leaves]]
+        self.place = np.empty(self.n, np.int64)
+        self.place[found] = np.arange(self.n)
+        return found
 
     def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """How many signs the suffixes from a and from b share; a and b differ."""
-        x, y = self.leaf[a], self.leaf[b]
-        return self.depths.least(np.minimum(x, y), np.maximum(x, y))
+        x, y = self.place[a], self.place[b]
+        return self.depths.least(np.minimum(x, y) + 1, np.maximum(x, y))
 
 
 def next_smaller(rank: list[int]) -> list[int]:
@@ -207,12 +199,11 @@ def find_runs(signs: np.ndarray, min_words: int = MIN_WORDS, min_repeats: int =
     end = int(signs.max()) + 1
     forward = SuffixTree([*signs.tolist(), end])
     backward = SuffixTree([*signs[::-1].tolist(), end])
-    forward.tour()
     backward.tour()
     found = []
-    for falling in (False, True):
+    for suffixes in (forward.tour(), forward.suffixes(falling=True)):
         rank = np.empty(n + 1, np.int64)
-        rank[forward.suffixes(falling)] = np.arange(n + 1)
+        rank[suffixes] = np.arange(n + 1)
         to = np.array(next_smaller(rank.tolist()))
         at = np.arange(n)
         period = to - at

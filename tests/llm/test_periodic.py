@@ -60,7 +60,7 @@ def test_suffix_tree_knows_common_extensions():
     for n in (1, 2, 50, 400):
         signs = [rng.randint(0, 1) for _ in range(n)] + [2]
         tree = periodic.SuffixTree(signs)
-        tree.tour()
+        assert tree.tour().tolist() == tree.suffixes().tolist()
         assert tree.suffixes().tolist() == sorted(range(n + 1), key=lambda i: [-1 if s == 2 else s for s in signs[i:]])
         assert tree.suffixes(True).tolist() == sorted(range(n + 1), key=lambda i: [-9 if s == 2 else -s for s in signs[i:]])
         pairs = [(rng.randrange(n + 1), rng.randrange(n + 1)) for _ in range(300)]
