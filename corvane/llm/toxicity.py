@@ -18,19 +18,21 @@ example stands for.
 from __future__ import annotations
 
 import unicodedata
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, fields
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corvane.llm import anchors
 from corvane.llm.bpe import blocks
+from corvane.llm.tables import fresh_folder
+from corvane.llm.tokenstore import file_system
 
 #: Labelled documents of each label that serve as examples, at most.
 EXAMPLES = 2048
@@ -40,9 +42,10 @@ BLOCK = 32
 #: A term is of many examples if one in so many holds it.
 COMMON = 16
 #: Texts compared at once.
-BATCH = 64
+BATCH = 256
 NEIGHBOURS = 15
 BEGINNINGS = (3, 4, 5, 6)
+POST = np.dtype([("example", np.int32), ("weight", np.float32)])
 #: Votes of no evidence: so much weight at the rate of the labels.
 PRIOR = 0.5
 
@@ -59,27 +62,62 @@ def _in_word() -> np.ndarray:
 
 
 def term_hashes(text: str) -> np.ndarray:
-    """Every occurrence of every term of a text, as a 64-bit hash."""
-    code = np.frombuffer(unicodedata.normalize("NFC", text).lower().encode("utf-32-le"), np.uint32)
+    """The distinct terms of a text, as 64-bit hashes."""
+    return counted_terms([text])[1]
+
+
+def counted_terms(texts: list[str], known: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct terms of each text: the text's number, the term, how often it occurs there; in this order.
+
+    A term is its 64-bit hash, or its place in ``known``, sorted hashes, and others are left out. Every distinct
+    word of all the texts is hashed and looked up once, with its beginnings.
+    """
+    given = [unicodedata.normalize("NFC", t).lower() for t in texts]
+    code = np.frombuffer(("\n".join(given) + "\n").encode("utf-32-le"), np.uint32)
     edge = np.diff(_in_word()[code].astype(np.int8), prepend=0, append=0)
     begin, end = np.flatnonzero(edge > 0), np.flatnonzero(edge < 0)
+    stops = np.cumsum(np.fromiter(map(len, given), np.int64, len(given)) + 1)
     sums = anchors.prefix_sums(code.astype(np.uint64) * np.uint64(0x2545F4914F6CDD1D))
-    out = [anchors.mix(anchors.stretch_hash(sums, begin, end))]
-    for n in BEGINNINGS:
-        own = begin[end - begin >= n]
-        out.append(anchors.mix(anchors.stretch_hash(sums, own, own + n) + np.uint64(n)))
-    return np.concatenate(out)
-
-
-def term_counts(text: str, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers of the known terms in a text and how often each occurs. ``terms`` is sorted."""
-    if not len(terms):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    hashes, counts = np.unique(term_hashes(text), return_counts=True)
-    at = np.searchsorted(terms, hashes)
-    at[at == len(terms)] = 0
-    known = terms[at] == hashes
-    return at[known], counts[known]
+    whole, at, word = np.unique(
+        anchors.mix(anchors.stretch_hash(sums, begin, end)), return_index=True, return_inverse=True
+    )
+    words = max(1, len(whole))
+    held, times = np.unique(np.searchsorted(stops, begin, "right") * words + word, return_counts=True)
+    doc, word = held // words, held % words
+    begin, size = begin[at], end[at] - begin[at]
+    docs, terms, counts = [], [], []
+    for n in (0, *BEGINNINGS):
+        own = np.flatnonzero(size >= n)
+        if n:
+            made = anchors.mix(anchors.stretch_hash(sums, begin[own], begin[own] + n) + np.uint64(n))
+        else:
+            made = whole
+        term = np.full(words, -1, np.int64)
+        term[own] = made.view(np.int64) if known is None else _places(made, known)
+        long = np.zeros(words, bool)
+        long[own] = True if known is None else term[own] >= 0
+        some = long[word]
+        docs.append(doc[some])
+        terms.append(term[word[some]])
+        counts.append(times[some])
+    doc, term, times = map(np.concatenate, (docs, terms, counts))
+    if known is None:
+        term = term.view(np.uint64)
+    order = np.lexsort((term, doc)) if known is None else np.argsort(doc * max(1, len(known)) + term)
+    doc, term, times = doc[order], term[order], times[order]
+    new = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (term[1:] != term[:-1])) if len(doc) else doc > 0)
+    return doc[new], term[new], np.add.reduceat(times, new) if len(new) else times
+
+
+def _places(hashes: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Where hashes stand in ``known``, or -1."""
+    if not len(known):
+        return np.full(len(hashes), -1)
+    order = np.argsort(hashes)
+    at = np.empty(len(hashes), np.int64)
+    at[order] = np.searchsorted(known, hashes[order])
+    at[at == len(known)] = 0
+    return np.where(known[at] == hashes, at, -1)
 
 
 def ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -94,68 +132,73 @@ class Model:
     ids: np.ndarray  # of the examples, and so on
     label: np.ndarray
     stands_for: np.ndarray
-    rows: list[tuple[np.ndarray, np.ndarray]]  # term numbers and weights of each example
-    rate: float
-    empty_score: float
-
-    #: The index is made where it is first used, not on the driver.
-    indexed = False
-
-    def __getstate__(self) -> dict:
-        return {f.name: getattr(self, f.name) for f in fields(self)}
+    sizes: np.ndarray  # how many terms each example has
+    term: np.ndarray  # the numbers of the terms of all examples, one after the other
+    weight: np.ndarray
+    prior: np.ndarray  # the rate of the labels, and the score of a text without terms
 
-    def index(self) -> None:
-        self.indexed = True
+    def __post_init__(self):
+        self.rate, self.empty_score = self.prior.tolist()
         self.blocks = -(-len(self.ids) // BLOCK)
-        self.sizes = np.array([len(t) for t, _ in self.rows], np.int64)
         self.begin = np.cumsum(self.sizes) - self.sizes
-        self.term = np.concatenate([t for t, _ in self.rows]) if self.rows else np.zeros(0, np.int64)
-        self.weight = np.concatenate([w for _, w in self.rows]) if self.rows else np.zeros(0)
-        example = np.repeat(np.arange(len(self.rows)), self.sizes)
+        example = np.repeat(np.arange(len(self.sizes)), self.sizes)
         held = np.bincount(self.term, minlength=len(self.terms))
         self.common = np.full(len(self.terms), -1, np.int64)
         many = np.flatnonzero(held * COMMON >= max(1, len(self.ids)))
         self.common[many] = np.arange(len(many))
         own = self.common[self.term] >= 0
-        self.matrix = np.zeros((len(many), self.blocks * BLOCK))
-        self.matrix[self.common[self.term[own]], example[own]] = self.weight[own]
-        self.most = self.matrix.reshape(len(many), self.blocks, BLOCK).max(2, initial=0)
+        self.matrix = np.zeros((self.blocks, len(many), BLOCK), np.float32)
+        self.matrix[example[own] // BLOCK, self.common[self.term[own]], example[own] % BLOCK] = self.weight[own]
+        self.most = np.ascontiguousarray(self.matrix.max(2, initial=0).T)
+        # single precision: n products of unit vectors, n additions and the rounding of their factors
+        self.slack = 2 * (len(many) + 4) * 2.0**-24
         term, example, weight = self.term[~own], example[~own], self.weight[~own]
         order = np.argsort(term, kind="stable")
-        self.post_example, self.post_weight = example[order], weight[order]
+        posts = np.empty(len(order), POST)
+        posts["example"], posts["weight"] = example[order], weight[order]
+        self.posts = posts.view(np.uint64)  # which is taken faster
         self.post_size = np.bincount(term, minlength=len(self.terms))
         self.post_begin = np.cumsum(self.post_size) - self.post_size
         self.asked = np.zeros(len(self.terms))
 
+    @property
+    def rows(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        cuts = self.begin[1:]
+        return list(zip(np.split(self.term, cuts), np.split(self.weight, cuts), strict=True)) if len(self.ids) else []
+
     def vector(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        found, count = term_counts(text, self.terms)
-        weight = (1 + np.log(count)) * self.idf[found]
-        return found, weight / np.sqrt((weight**2).sum()) if len(found) else weight
+        return self.vectors([text])[0]
+
+    def vectors(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """The numbers and weights of the known terms of each text, at unit length."""
+        doc, term, count = counted_terms(texts, self.terms)
+        weight = (1 + np.log(count)) * self.idf[term]
+        cuts = np.searchsorted(doc, np.arange(1, len(texts)))
+        parts = zip(np.split(term, cuts), np.split(weight, cuts), strict=True)
+        return [(t, w / np.sqrt((w**2).sum()) if len(t) else w) for t, w in parts]
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray) -> list[tuple[float, int]]:
         """(cosine, example) of the nearest examples with a common term; ties to the lesser example."""
         return self.nearest_all([(terms, weights)])[0]
 
     def nearest_all(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> list[list[tuple[float, int]]]:
-        if not self.indexed:
-            self.index()
         n, width = len(vectors), self.blocks * BLOCK
         if not width:
             return [[] for _ in vectors]
-        asked, sums = np.zeros((n, len(self.matrix))), np.zeros((n, width))
+        asked, sums = np.zeros((n, self.matrix.shape[1]), np.float32), np.zeros((n, width))
         for k, (terms, weights) in enumerate(vectors):
             common = self.common[terms]
             asked[k, common[common >= 0]] = weights[common >= 0]
             size = self.post_size[terms]
-            at = ranges(self.post_begin[terms], size)
-            sums[k] = np.bincount(self.post_example[at], np.repeat(weights, size) * self.post_weight[at], minlength=width)
-        bound = asked @ self.most + sums.reshape(n, self.blocks, BLOCK).max(2)
+            flat = self.posts[ranges(self.post_begin[terms], size)].view(POST)
+            sums[k] = np.bincount(flat["example"], np.repeat(weights, size) * flat["weight"], minlength=width)
+        bound = asked @ self.most + sums.reshape(n, self.blocks, BLOCK).max(2) + self.slack
         scored = np.zeros((n, self.blocks), bool)
 
         def visit(wanted: np.ndarray) -> None:
             for block in np.flatnonzero(wanted.any(0)).tolist():
                 own, part = np.flatnonzero(wanted[:, block]), slice(block * BLOCK, (block + 1) * BLOCK)
-                sums[own, part] += asked[own] @ self.matrix[:, part]
+                sums[own, part] += asked[own] @ self.matrix[block]
             scored[wanted] = True
 
         first = np.zeros((n, self.blocks), bool)
@@ -163,13 +206,15 @@ class Model:
         visit(first)
         place = max(0, BLOCK - NEIGHBOURS)
         reached = np.sort(sums.reshape(n, self.blocks, BLOCK)[first], 1)[:, place]
-        # rounding may differ in the last places: what is as near but for 1e-9 is compared below
-        visit(~scored & (bound > 0) & (bound >= reached[:, None] - 1e-9))
-        sums = np.where(np.repeat(scored, BLOCK, 1), sums, 0)
+        # sums are right but for the slack: what is as near but for it is compared below
+        visit(~scored & (bound > self.slack) & (bound >= reached[:, None] - self.slack))
+        sums.reshape(n, self.blocks, BLOCK)[~scored] = 0
+        place = width - min(width, NEIGHBOURS)
+        least = np.partition(sums, place, 1)[:, place]
+        close = (sums > 0) & (sums >= least[:, None] - 2 * self.slack)
         out = []
-        for (terms, weights), own in zip(vectors, sums, strict=True):
-            least = np.partition(own, width - min(width, NEIGHBOURS))[width - min(width, NEIGHBOURS)]
-            near = np.flatnonzero((own > 0) & (own >= least - 1e-9))
+        for (terms, weights), own in zip(vectors, close, strict=True):
+            near = np.flatnonzero(own)
             if not len(near):
                 out.append([])
                 continue
@@ -190,7 +235,7 @@ class Model:
         distinct, made = list(dict.fromkeys(texts)), {}
         for begin in range(0, len(distinct), BATCH):
             part = distinct[begin : begin + BATCH]
-            vectors = [self.vector(t) for t in part]
+            vectors = self.vectors(part)
             for text, (terms, _), found in zip(part, vectors, self.nearest_all(vectors), strict=True):
                 if not len(terms):
                     made[text] = (self.empty_score, [])
@@ -201,6 +246,31 @@ class Model:
                 made[text] = (score, [(int(self.ids[k]), s) for s, k in found])
         return [made[t] for t in texts]
 
+    def save(self, folder: str) -> str:
+        """Writes the arrays to a new folder below ``folder`` and returns its path."""
+        folder = f"{folder}/{uuid.uuid4().hex}"
+        for field in fields(self):
+            save_array(f"{folder}/{field.name}", getattr(self, field.name))
+        return folder
+
+
+def save_array(uri: str, values: np.ndarray) -> None:
+    where, path = file_system(uri)
+    where.create_dir(path.rsplit("/", 1)[0], recursive=True)
+    with where.open_output_stream(path) as out:
+        np.lib.format.write_array(out, np.ascontiguousarray(values), allow_pickle=False)
+
+
+def load_array(uri: str) -> np.ndarray:
+    where, path = file_system(uri)
+    with where.open_input_file(path) as given:
+        return np.lib.format.read_array(given, allow_pickle=False)
+
+
+def load(folder: str) -> Model:
+    """The model that ``fit`` wrote. A task loads it once; a worker does not keep it for the operators that follow."""
+    return Model(*(load_array(f"{folder}/{field.name}") for field in fields(Model)))
+
 
 def telling(label: np.ndarray, owner: np.ndarray, term: np.ndarray, n: int) -> np.ndarray:
     """The likelihood ratio by which each of ``n`` terms tells the labels of the examples apart.
@@ -220,16 +290,20 @@ def telling(label: np.ndarray, owner: np.ndarray, term: np.ndarray, n: int) -> n
         return np.maximum(2 * sum(gains), 0)
 
 
-def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Model:
-    """The model from ``labels`` (``doc_id``, ``toxic``) and the corpus they belong to.
+def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> str:
+    """Makes the model from ``labels`` (``doc_id``, ``toxic``) and the corpus they belong to; the folder it is in.
 
     Rows with a null label or id do not count; a document labelled twice counts as
     toxic if any row says so. Of equal texts one is an example. Without labels of
     both kinds there are no terms, and every score is the rate of the labels.
+
+    The folder is a new one below the shared folder. One task lists the terms of at most 2 * ``examples``
+    examples, all tasks count who holds them, one task weighs them; the driver sees paths and two counts alone.
     """
+    spark = docs.sparkSession
+    folder = fresh_folder(spark, "toxicity")
     known = labels.filter("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     totals = {r.toxic: r.n for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    rate = totals.get(1, 0) / max(1, sum(totals.values()))
     picked = None
     for label in (0, 1):
         own = known.filter(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(examples)
@@ -242,52 +316,85 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Model:
 
     def all_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in blocks(batches):
-            found = [np.unique(term_hashes(t), return_counts=True) for t in texts]
+            found = [counted_terms([t])[1:] for t in texts]
             lists = (pa.array([x[k].view(np.int64) for x in found], pa.list_(pa.int64())) for k in (0, 1))
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *lists], ["doc_id", "toxic", "terms", "counts"])
 
-    # at most 2 * examples rows
     held = sample.select("doc_id", "toxic", "text").mapInArrow(
         all_terms, "doc_id long, toxic int, terms array<long>, counts array<long>"
-    ).toArrow().sort_by("doc_id").combine_chunks()
-    keys, label = held["doc_id"].to_numpy().astype(np.int64), held["toxic"].to_numpy().astype(np.int64)
-    hashes = held["terms"].combine_chunks().flatten().to_numpy().view(np.uint64)
-    counts = held["counts"].combine_chunks().flatten().to_numpy()
-    sizes = pc.list_value_length(held["terms"]).to_numpy().astype(np.int64)
-    del held
-    owner = np.repeat(np.arange(len(keys), dtype=np.int32), sizes)
-    n1 = int(label.sum())
-    n0 = len(label) - n1
-    if not (n1 and n0):
-        owner, hashes, counts, sizes = owner[:0], hashes[:0], counts[:0], 0 * sizes
-    number = np.unique(hashes)
-    term = np.searchsorted(number, hashes).astype(np.int32)
-    del hashes
-    shared = docs.sparkSession.sparkContext.broadcast(number)
+    )
+    held.write.parquet(f"{folder}/examples")
+    held = spark.read.parquet(f"{folder}/examples")
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, labels = np.zeros(0, np.uint64), set()
+        for batch in batches:
+            labels |= set(batch.column(0).to_pylist())
+            hashes = np.union1d(hashes, batch.column(1).flatten().to_numpy().view(np.uint64))
+        path = f"{folder}/{uuid.uuid4().hex}"
+        save_array(path, hashes if len(labels) == 2 else hashes[:0])
+        yield pa.RecordBatch.from_arrays([pa.array([path])], ["path"])
+
+    terms = held.select("toxic", "terms").repartition(1).mapInArrow(listed, "path string").first()
+    terms = terms.path if terms else None
 
     def holding(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = shared.value
+        number = load_array(terms) if terms else np.zeros(0, np.uint64)
         total = np.zeros(len(number) + 1, np.int64)
         for _, texts in blocks(batches):
             total[-1] += len(texts)
-            for text in texts:
-                total[term_counts(text, number)[0]] += 1
+            for begin in range(0, len(texts), BATCH):
+                total[:-1] += np.bincount(counted_terms(texts[begin : begin + BATCH], number)[1], minlength=len(number))
         own = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(total[own])], ["term", "n"])
 
-    known_by = docs.select("doc_id", "text").mapInArrow(holding, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
-    corpus = np.zeros(len(number) + 1, np.int64)
-    corpus[known_by["term"].to_numpy().astype(np.int64)] = known_by["n"].to_numpy()
+    counted = docs.select("doc_id", "text").mapInArrow(holding, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    # two sorts of rows for one task: examples, and counts with a null toxic
+    rows = held.select("doc_id", "toxic", "terms", "counts").unionByName(
+        counted.select(
+            "term", F.lit(None).cast("int").alias("toxic"), F.array("term").alias("terms"), F.array("n").alias("counts")
+        ).withColumnRenamed("term", "doc_id")
+    )
+
+    def weighed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = load_array(terms) if terms else np.zeros(0, np.uint64)
+        corpus, some = np.zeros(len(number) + 1, np.int64), []
+        for batch in batches:
+            count = np.asarray(batch.column(1).is_null())
+            corpus[batch.column(0).to_numpy()[count]] = batch.column(3).filter(pa.array(count)).flatten().to_numpy()
+            one = batch.filter(pa.array(~count))
+            for key, y, t, n in zip(*(c.to_pylist() if k < 2 else c for k, c in enumerate(one.columns)), strict=True):
+                some.append((key, y, t.values.to_numpy().view(np.uint64), n.values.to_numpy()))
+        yield pa.RecordBatch.from_arrays([pa.array([made(sorted(some, key=lambda x: x[0]), number, corpus, totals).save(folder)])], ["path"])
+
+    model = rows.repartition(1).mapInArrow(weighed, "path string").first()
+    return model.path
+
+
+def made(held: list[tuple], number: np.ndarray, corpus: np.ndarray, totals: dict[int, int]) -> Model:
+    """The model from examples (id, label, term hashes, counts) in order of their ids.
+
+    ``number`` are the terms that count; ``corpus`` says how many documents hold each, and how many there are.
+    """
+    rate = totals.get(1, 0) / max(1, sum(totals.values()))
+    label = np.array([y for _, y, *_ in held], np.int64)
+    n1 = int(label.sum())
+    n0 = len(label) - n1
+    if not len(number):
+        held = [(key, y, t[:0], n[:0]) for key, y, t, n in held]
+    sizes = np.array([len(t) for _, _, t, _ in held], np.int64)
+    owner = np.repeat(np.arange(len(held), dtype=np.int32), sizes)
+    none = np.zeros(0, np.uint64)
+    term = np.searchsorted(number, np.concatenate([none, *(t for _, _, t, _ in held)])).astype(np.int32)
+    counts = np.concatenate([none.astype(np.int64), *(n for *_, n in held)])
     idf = np.log((1 + corpus[-1]) / (1 + corpus[:-1])) + 1
     if len(number):
         idf *= np.sqrt(telling(label, owner, term, len(number))) + LEAST
-    del owner
     weight = {0: totals.get(0, 0) / max(1, n0), 1: totals.get(1, 0) / max(1, n1)}
     least_weight = min([w for w in weight.values() if w > 0], default=1.0)
     raw = (1 + np.log(counts)) * idf[term]
-    del counts
     vectors, begin = [], 0
-    for key, y, size in zip(keys.tolist(), label.tolist(), sizes.tolist(), strict=True):
+    for (key, y, *_), size in zip(held, sizes.tolist(), strict=True):
         found, w = term[begin : begin + size], raw[begin : begin + size]
         vectors.append((key, y, found, w / np.sqrt((w**2).sum()) if size else w))
         begin += size
@@ -299,23 +406,26 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Model:
     return Model(
         number, idf,
         np.array([x[0] for x in filled], np.int64), np.array([x[1] for x in filled], np.int64),
-        np.array([weight[x[1]] / least_weight for x in filled]), [(x[2], x[3]) for x in filled],
-        rate, empty if len(keys) else rate,
+        np.array([weight[x[1]] / least_weight for x in filled], np.float64),
+        np.array([len(x[2]) for x in filled], np.int64),
+        np.concatenate([np.zeros(0, np.int32), *(x[2] for x in filled)]),
+        np.concatenate([np.zeros(0), *(x[3] for x in filled)]),
+        np.array([rate, empty if len(held) else rate]),
     )
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """``doc_id``, ``score`` (0 to 1) and ``evidence``: nearest examples and their cosines.
+def score(docs: DataFrame, model: str) -> DataFrame:
+    """``doc_id``, ``score`` (0 to 1) and ``evidence``: nearest examples and their cosines, by the model in a folder.
 
     A null text is empty; a text without any term of the examples gets the rate of
     such examples. In place: nothing is shuffled.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("example", pa.int64()), ("cosine", pa.float64())]))
+        loaded = load(model)
         for part, texts in blocks(batches):
-            judged = shared.value.judge_all(texts)
+            judged = loaded.judge_all(texts)
             evidence = [[{"example": k, "cosine": s} for k, s in found] for _, found in judged]
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array([s for s, _ in judged], pa.float64()), pa.array(evidence, kind)],
@@ -327,13 +437,13 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     )
 
 
-def with_score(docs: DataFrame, model: Model, name: str = "toxicity_score") -> DataFrame:
+def with_score(docs: DataFrame, model: str, name: str = "toxicity_score") -> DataFrame:
     """``docs`` with all their columns and the score of each ``text`` as a further one."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        loaded = load(model)
         for part, texts in blocks(batches):
-            found = pa.array([s for s, _ in shared.value.judge_all(texts)], pa.float64())
+            found = pa.array([s for s, _ in loaded.judge_all(texts)], pa.float64())
             yield pa.RecordBatch.from_arrays([*part.columns, found], [*part.schema.names, name])
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))

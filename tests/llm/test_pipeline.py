@@ -31,7 +31,7 @@ def characters_kept(text, gone):
 def test_pipeline(spark):
     given = spark.read.parquet(f"{SF}/documents.parquet")
     rows = {r.doc_id: r for r in given.collect()}
-    model = toxicity.fit(given, spark.read.parquet(f"{SF}/labels.parquet"))
+    model = toxicity.load(toxicity.fit(given, spark.read.parquet(f"{SF}/labels.parquet")))
     docs = given
     seen = []
     for name, stage in corpus_pipeline.STAGES:

@@ -15,7 +15,7 @@ SF = "/root/testdata/sf0.01"
 def model(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     labels = spark.read.parquet(f"{SF}/labels.parquet").filter(~toxicity.held_out(toxicity.F.col("doc_id")))
-    return toxicity.fit(docs, labels)
+    return toxicity.load(toxicity.fit(docs, labels))
 
 
 def test_neighbours_are_exact(model):
@@ -61,7 +61,7 @@ def test_all_terms_of_all_examples_count(spark):
     rows = [(k, f"brask vonder smeel w{k}") for k in range(20)] + [(20 + k, f"calm field river v{k}") for k in range(20)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     labels = spark.createDataFrame([(k, int(k < 20)) for k in range(40)], "doc_id long, toxic int")
-    model = toxicity.fit(docs, labels)
+    model = toxicity.load(toxicity.fit(docs, labels))
     for word in ("brask", "vonder", "smeel", "calm", "field", "river", "w7", "v7"):
         terms, _ = model.vector(word)
         assert len(terms), word
