@@ -10,7 +10,7 @@ from __future__ import annotations
 from corvane import fixed_values as fixed
 from corvane.functions import routing
 from corvane.plans import tables as given
-from corvane.plans.registry import GUARDED, PIVOTS
+from corvane.plans.registry import GUARDED
 
 # The given tables' columns and types.
 COLUMNS = {
@@ -118,24 +118,6 @@ evidence AS (
     string_agg(s3_key || '#' || chunk_index, ';' ORDER BY rank) AS sources,
     count(*) AS n_hits
   FROM hits JOIN chunks USING (s3_key, chunk_index) GROUP BY question_id)"""
-CELLS = f"""pivots AS (
-  SELECT row_number() OVER (ORDER BY sha256(s3_key || '#' || chunk_index)) - 1 AS cell, embedding AS anchor
-  FROM idx ORDER BY sha256(s3_key || '#' || chunk_index) LIMIT {PIVOTS}),
-cells AS (
-  SELECT s3_key, chunk_index, any_value(embedding) AS embedding,
-    arg_max(cell, list_cosine_similarity(embedding, anchor)) AS cell
-  FROM idx, pivots GROUP BY s3_key, chunk_index),
-held AS (SELECT cell, count(*) AS n FROM cells GROUP BY cell),
-visits AS (
-  SELECT question_id, vector, cell FROM (
-    SELECT question_id, vector, cell, n,
-      sum(n) OVER (PARTITION BY question_id
-        ORDER BY list_cosine_similarity(vector, anchor) DESC, cell ROWS UNBOUNDED PRECEDING) AS upto
-    FROM questions, pivots JOIN held USING (cell) WHERE vector IS NOT NULL)
-  WHERE upto - n < {fixed.EF_SEARCH}),
-near AS (
-  SELECT question_id, s3_key, chunk_index, round(list_cosine_similarity(vector, embedding), 9) AS score
-  FROM visits JOIN cells USING (cell))"""
 
 
 def churn(source: str, user: str, time: str, period: str, name: str = "customer_metrics") -> str:
@@ -306,8 +288,6 @@ ORACLES = {
     "FROM idx JOIN labels ON doc_id = document_id GROUP BY s3_key, chunk_index",
     "knn_topk": f"WITH {DOCS}, {HITS} SELECT question_id, CAST(rank AS INT) AS rank, s3_key, chunk_index, "
     "round(score, 6) AS score FROM hits",
-    "knn_approx": f"WITH {DOCS}, {INDEX}, {QUESTIONS}, {CELLS}, {ranked('near')} SELECT question_id, "
-    "CAST(rank AS INT) AS rank, s3_key, chunk_index, round(score, 6) AS score FROM hits",
     "cited_context": f"WITH RECURSIVE {EVIDENCE} SELECT question_id, context, sources FROM evidence",
     "parse_route": f"WITH {QUESTIONS}, letters AS (SELECT question_id, route_reply, "
     "regexp_replace(upper(route_reply), '[^A-Z]', '', 'g') AS label FROM questions) "

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from corvane import fixed_values as fixed
 from corvane.functions import costs, guard, keys, prompts, routing, vectors
 from corvane.functions import text as tx
-from corvane.operators import answers, audit, chunking, embedding, etl, knn, metrics
+from corvane.operators import ann, answers, audit, chunking, embedding, etl, knn, metrics
 from corvane.operators import costs as cost_plans
 from corvane.plans import tables as given
 from corvane.session import fresh_path
@@ -28,7 +28,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 EVENT_TYPES = "event_id bigint, user_id bigint, event__type string, value double"
-PIVOTS = 16
 
 
 def flat(df: DataFrame) -> DataFrame:
@@ -180,16 +179,23 @@ def knn_topk(spark, sf_dir):
 
 @query
 def knn_topk_pruned(spark, sf_dir):
-    cells = knn.build_cells(given.vector_index(spark, sf_dir), pivots=PIVOTS, dim=given.dim(spark, sf_dir))
-    hits = knn.pruned_topk(given.questions(spark, sf_dir), cells)
+    hits = knn.blocked_topk(
+        given.questions(spark, sf_dir), given.vector_index(spark, sf_dir), fixed.TOP_K, given.dim(spark, sf_dir)
+    )
     return hits.withColumn("score", F.round("score", 6))
 
 
 @query
 def knn_approx(spark, sf_dir):
-    cells = knn.build_cells(given.vector_index(spark, sf_dir), pivots=PIVOTS, dim=given.dim(spark, sf_dir))
-    hits = knn.approximate_topk(given.questions(spark, sf_dir), cells)
-    return hits.withColumn("score", F.round("score", 6))
+    """Approximate hits, and for each question the share of exact ones found and of rows scored."""
+    asked, index = given.questions(spark, sf_dir), given.vector_index(spark, sf_dir)
+    dim = given.dim(spark, sf_dir)
+    pairs_path = fresh_path(spark, "pairs")
+    ann.candidates(asked, index, dim=dim).write.parquet(pairs_path)
+    pairs = spark.read.parquet(pairs_path)
+    found = ann.rescored(pairs, asked, index, dim=dim)
+    quality = ann.quality(found, knn.knn_topk(asked, index, dim=dim), pairs, index)
+    return found.withColumn("score", F.round("score", 6)).join(quality, "question_id", "left")
 
 
 def _evidence(spark, sf_dir) -> DataFrame:

@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from corvane.operators import knn
+from corvane.operators import ann, knn
 
 DIM = 8
 SCHEMA = "s3_key string, chunk_index int, embedding array<float>"
@@ -54,25 +54,15 @@ def test_more_hits_wanted_than_there_are(data, spark):
 
 
 @pytest.mark.parametrize("small_blocks", [False, True])
-def test_cells_give_the_exact_answer(data, monkeypatch, small_blocks):
+def test_blocks_give_the_exact_answer(data, monkeypatch, small_blocks):
     index, questions, rows, asked = data
     if small_blocks:
-        monkeypatch.setattr(knn, "ROWS_PER_BLOCK", 20)
-        monkeypatch.setattr(knn, "QUESTIONS_PER_BLOCK", 7)
-    cells = knn.build_cells(index, pivots=12, dim=DIM)
-    assert cells.counts.sum() == len(rows)
-    assert found(knn.pruned_topk(questions, cells, 5, ef_search=10)) == brute_force(rows, asked, 5)
+        monkeypatch.setattr(knn, "ROWS_PER_BLOCK", 90)
+        monkeypatch.setattr(knn, "QUESTIONS_PER_BLOCK", 17)
+    assert found(knn.blocked_topk(questions, index, 5, DIM)) == brute_force(rows, asked, 5)
 
 
-def test_approximate_recall(data):
-    index, questions, rows, asked = data
-    cells = knn.build_cells(index, pivots=12, dim=DIM)
-    near = {h[:1] + h[2:4] for h in found(knn.approximate_topk(questions, cells, 5, ef_search=200))}
-    exact = {h[:1] + h[2:4] for h in brute_force(rows, asked, 5)}
-    assert len(near & exact) / len(exact) > 0.8
-
-
-def test_large_question_sets_go_by_cells(data, monkeypatch):
+def test_large_question_sets_go_by_blocks(data, monkeypatch):
     index, questions, rows, asked = data
     monkeypatch.setattr(knn, "QUESTION_BYTES", 8 * DIM * 10)
     hits, small = knn.search(questions, index, 3, dim=DIM)
@@ -80,6 +70,30 @@ def test_large_question_sets_go_by_cells(data, monkeypatch):
     assert found(hits) == brute_force(rows, asked, 3)
 
 
+def test_approximate_recall(data):
+    index, questions, rows, asked = data
+    hits = found(ann.approximate_topk(questions, index, 5, dim=DIM))
+    exact = {h[:1] + h[2:4] for h in brute_force(rows, asked, 5)}
+    assert len({h[:1] + h[2:4] for h in hits} & exact) / len(exact) > 0.9
+    scores = {(q, k, c): s for q, _, k, c, s in brute_force(rows, asked, len(rows))}
+    assert all(scores[(q, k, c)] == s for q, _, k, c, s in hits)
+    ranks = {}
+    for q, rank, *_ in hits:
+        ranks.setdefault(q, []).append(rank)
+    assert all(sorted(r) == list(range(1, len(r) + 1)) and len(r) <= 5 for r in ranks.values())
+
+
+@pytest.mark.parametrize("folder", ["/root/testdata/sf0.1"])
+def test_recall_on_the_given_vectors(spark, folder):
+    from corvane.plans.registry import QUERIES
+
+    rows = QUERIES["knn_approx"](spark, folder).collect()
+    by_question = {r.question_id: r for r in rows}
+    assert sum(r.recall for r in by_question.values()) / len(by_question) >= 0.9
+    assert 0 < sum(r.share_scored for r in by_question.values()) / len(by_question) < 0.8
+    assert all(r.question_id >= 0 and 1 <= r.rank <= 5 for r in rows)
+
+
 def test_no_usable_question(data, spark):
     index = data[0]
     none = spark.createDataFrame([(1, None)], "question_id long, vector array<float>")
