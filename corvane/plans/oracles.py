@@ -10,7 +10,7 @@ from __future__ import annotations
 from corvane import fixed_values as fixed
 from corvane.functions import routing
 from corvane.plans import tables as given
-from corvane.plans.registry import GUARDED
+from corvane.plans.registry import GUARDED, LETTERS
 
 # The given tables' columns and types.
 COLUMNS = {
@@ -405,6 +405,14 @@ ORACLES = {
     "' cost=$' || CAST(micro / 1e6 AS DECIMAL(18,6)) || CASE WHEN is_total THEN ' (avg $' || "
     "CAST(micro / 1e6 / calls AS DECIMAL(18,6)) || '/call)' ELSE '' END AS line FROM summary",
 }
+LETTER_COUNTS = ", ".join(f"length(chunk_text) - length(replace(chunk_text, '{c}', ''))" for c in LETTERS)
+RENEWED = CHUNKS.replace("FROM documents)", "FROM renewed)", 1)
+ORACLES["stored_versions"] = (
+    "WITH RECURSIVE renewed AS (SELECT * REPLACE (CASE WHEN doc_id NOT IN (SELECT doc_id FROM labels) THEN text "
+    "WHEN doc_id % 2 = 0 THEN 'Second delivery. ' || text END AS text) FROM documents), "
+    f"{RENEWED} SELECT s3_key, CAST(chunk_index AS INT) AS chunk_index, chunk_id, chunk_text, token_count, "
+    f"array_to_string([{LETTER_COUNTS}], ',') AS vector FROM chunks"
+)
 ORACLES["knn_topk_pruned"] = ORACLES["knn_topk"]
 
 

@@ -309,7 +309,7 @@ def ask_store(spark, sf_dir):
     store = ingest.DocumentStore(root)
     docs = given.documents(spark, sf_dir).select("s3_key", F.lit("uploads").alias("source_bucket"), "text")
     ingest.ingest_documents(docs, store)
-    stored = sinks.read_keyed(spark, store.vectors, ingest.table_schema("vector_index"))
+    stored = store.vectors(spark)
     turns = given.table(spark, sf_dir, "conversations")
     asked = turns.select((F.col("conv_id") * 1000 + F.col("turn")).alias("question_id"), F.col("text").alias("question"))
     found = answers.evidence(answers.retrieve_stored(asked, stored))
@@ -612,9 +612,7 @@ def stream_documents(spark, sf_dir):
     )
     texts = uploads.select(given.s3_key().alias("s3_key"), F.lit("uploads").alias("source_bucket"), "text")
     ingest.document_stream(texts, store, f"{root}/checkpoint").awaitTermination()
-    documents_schema = ingest.table_schema("documents")
-    parents = sinks.read_keyed(spark, store.documents, documents_schema)
-    chunks = sinks.read_keyed(spark, store.chunks, ingest.chunk_schema())
+    parents, chunks = store.documents(spark), store.chunks(spark)
     per_document = chunks.groupBy("s3_key").agg(
         F.count(F.lit(1)).alias("chunks"), F.sum("token_count").alias("tokens")
     )
@@ -624,6 +622,35 @@ def stream_documents(spark, sf_dir):
     )
 
 
+#: Letters that ``letter_encoder`` counts.
+LETTERS = "eaioutns"
+
+
+def letter_encoder(df: DataFrame, text: str, vector: str) -> DataFrame:
+    """How often some letters occur: an encoder that any engine can repeat."""
+    body = F.coalesce(F.col(text), F.lit(""))
+    counts = [F.length(body) - F.length(F.replace(body, F.lit(c), F.lit(""))) for c in LETTERS]
+    return df.withColumn(vector, F.array(*(c.cast("float") for c in counts)))
+
+
+@query
+def stored_versions(spark, sf_dir):
+    """Chunks and vectors after a first, a changed and a repeated delivery, and a compaction."""
+    docs = given.spread_documents(spark, sf_dir).select("document_id", "s3_key", F.lit("uploads").alias("source_bucket"), "text")
+    labelled = given.table(spark, sf_dir, "labels").select(F.col("doc_id").alias("document_id")).distinct()
+    changed = docs.join(labelled, "document_id").withColumn(
+        "text", F.when(F.col("document_id") % 2 == 0, F.concat(F.lit("Second delivery. "), "text"))
+    )
+    store = ingest.DocumentStore(fresh_path(spark, "store"))
+    for rows, txn in ((docs, "first"), (changed, "second"), (changed, "second")):
+        ingest.ingest_documents(rows.drop("document_id"), store, letter_encoder, txn=txn)
+    store.compact(spark)
+    vectors = store.vectors(spark).select("s3_key", "chunk_index", F.array_join(F.col("embedding").cast("array<int>"), ",").alias("vector"))
+    return store.chunks(spark).join(vectors, ["s3_key", "chunk_index"]).select(
+        "s3_key", "chunk_index", "chunk_id", "chunk_text", "token_count", "vector"
+    )
+
+
 @query
 def stream_structured(spark, sf_dir):
     root = fresh_path(spark, "load")

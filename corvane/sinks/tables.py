@@ -1,26 +1,12 @@
-"""Writes: appends to registered tables, and keyed writes to partitioned folders.
-
-Keyed tables are plain parquet, partitioned by a hash bucket of the key. A
-write reads and rewrites only the buckets its keys fall in, by dynamic
-partition overwrite, and gives the same table however often it is repeated.
-Where a catalogue offers transactional MERGE, prefer that: the commit of a
-parquet overwrite is not atomic across buckets.
-"""
+"""Writes: appends to registered tables, loads that replace themselves, merged documents and the call log."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from corvane.functions.text import token_count
 
-BUCKETS = 64
-
-
 def append(df: DataFrame, table: str) -> None:
     """Append by column name; columns the frame lacks take the table's defaults."""
     names = ", ".join(f"`{c}`" for c in df.columns)
@@ -44,59 +30,6 @@ def replace_part(df: DataFrame, path: str, parts: list[str]) -> None:
     )
 
 
-def read_keyed(
-    spark: SparkSession, path: str, schema: T.StructType, key: str = "s3_key"
-) -> DataFrame:
-    """A keyed table as its schema declares it; empty if nothing was written yet."""
-    return _read(spark, path, schema).filter(F.col(key).isNotNull()).drop("bucket")
-
-
-def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    full = T.StructType(schema.fields + [T.StructField("bucket", T.IntegerType())])
-    try:
-        return spark.read.schema(full).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], full)
-
-
-def _bucket(key: str, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
-
-
-def _rewrite(
-    batch_keys: DataFrame,
-    path: str,
-    schema: T.StructType,
-    key: str,
-    buckets: int,
-    change: Callable[[DataFrame], DataFrame],
-) -> None:
-    """Replace the buckets of a batch's keys by ``change`` of their present rows.
-
-    Rebalancing by bucket keeps the files few and splits what a hot key piles
-    up. A bucket left without rows still has to be overwritten, which a dynamic
-    overwrite would skip; so each touched bucket gets a row of nulls, dropped
-    when read.
-    """
-    spark = batch_keys.sparkSession
-    touched = batch_keys.select(_bucket(key, buckets).alias("bucket")).distinct()
-    numbers = [r.bucket for r in touched.collect()]
-    if not numbers:
-        return
-    stored = _read(spark, path, schema).filter(F.col("bucket").isin(numbers))
-    present = stored.filter(F.col(key).isNotNull()).drop("bucket")
-    changed = change(present).select(
-        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema]
-    )
-    blank = spark.createDataFrame([(n,) for n in numbers], "bucket int").select(
-        *[F.lit(None).cast(f.dataType).alias(f.name) for f in schema], "bucket"
-    )
-    rows = changed.withColumn("bucket", _bucket(key, buckets)).unionByName(blank)
-    replace_part(rows.hint("rebalance", "bucket"), path, ["bucket"])
-
-
 def upsert_documents(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     """Incoming documents merged into the existing ones by ``s3_key``.
 
@@ -119,28 +52,6 @@ def upsert_documents(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     return joined.select(*columns)
 
 
-def store_documents(
-    incoming: DataFrame, path: str, schema: T.StructType, buckets: int = BUCKETS
-) -> None:
-    """Upsert documents into a keyed folder."""
-    _rewrite(
-        incoming.select("s3_key"), path, schema, "s3_key", buckets,
-        lambda present: upsert_documents(present, incoming.select(*schema.names)),
-    )
-
-
-def store_parts(
-    parts: DataFrame, owners: DataFrame, path: str, schema: T.StructType, key: str,
-    buckets: int = BUCKETS,
-) -> None:
-    """Replace all rows of the owning documents, also of those that have none now."""
-    gone = owners.select(key)
-    _rewrite(
-        gone, path, schema, key, buckets,
-        lambda present: present.join(gone, key, "left_anti").unionByName(parts.select(*schema.names)),
-    )
-
-
 def log_calls(calls: DataFrame, table: str = "call_log") -> None:
     """Append model calls: call_type, input_tokens, output_tokens, maybe latency_ms."""
     append(calls, table)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corvane.functions.keys import upload_key
-from corvane.schemas import TABLES, create_tables, table_schema
+from corvane.schemas import TABLES, create_tables
 from corvane.sinks import tables as sinks
 from corvane.sources import catalog, files
 from corvane.streaming import ingest
@@ -31,7 +31,7 @@ def store(tmp_path):
 
 
 def stored_chunks(spark, store):
-    rows = sinks.read_keyed(spark, store.chunks, ingest.chunk_schema()).collect()
+    rows = store.chunks(spark).collect()
     return sorted((r.s3_key, r.chunk_index, r.chunk_text) for r in rows)
 
 
@@ -47,13 +47,13 @@ def test_document_stream_takes_new_files_only(spark, tmp_path, store):
     run_documents(spark, tmp_path, store)
     first = stored_chunks(spark, store)
     assert [c[:2] for c in first] == [("raw/pdf/a.pdf", 0), ("raw/pdf/a.pdf", 1), ("raw/pdf/a.pdf", 2)]
-    created = sinks.read_keyed(spark, store.chunks, ingest.chunk_schema()).agg(F.max("created_at")).first()[0]
+    created = store.chunks(spark).agg(F.max("created_at")).first()[0]
     put_pdf(tmp_path, "c/d.pdf", "Ten.")
     run_documents(spark, tmp_path, store)
     assert stored_chunks(spark, store) == sorted(first + [("raw/pdf/c/d.pdf", 0, "Ten.")])
-    kept = sinks.read_keyed(spark, store.chunks, ingest.chunk_schema()).filter("s3_key like '%a.pdf'")
+    kept = store.chunks(spark).filter("s3_key like '%a.pdf'")
     assert kept.agg(F.max("created_at")).first()[0] == created
-    vectors = sinks.read_keyed(spark, store.vectors, table_schema("vector_index"))
+    vectors = store.vectors(spark)
     assert vectors.count() == 4 and vectors.select(F.size("embedding")).distinct().collect() == [(384,)]
 
 
@@ -69,19 +69,85 @@ def test_reingestion_replaces(spark, store):
         texts = spark.createDataFrame([(k, "b", t) for k, t in rows], "s3_key string, source_bucket string, text string")
         ingest.ingest_documents(texts, store, **LIMITS)
 
-    schema = table_schema("documents")
     take([("k1", "One two three. Four five six."), ("k2", "Seven."), ("k3", "Eight.")])
-    before = {r.s3_key: r for r in sinks.read_keyed(spark, store.documents, schema).collect()}
+    before = {r.s3_key: r for r in store.documents(spark).collect()}
     take([("k1", "New."), ("k1", "New."), ("k2", ""), ("k4", "Nine.")])
-    after = {r.s3_key: r for r in sinks.read_keyed(spark, store.documents, schema).collect()}
+    after = {r.s3_key: r for r in store.documents(spark).collect()}
     assert set(after) == {"k1", "k2", "k3", "k4"}
     assert all(after[k] == before[k] for k in before)
     want = [("k1", 0, "New."), ("k3", 0, "Eight."), ("k4", 0, "Nine.")]
     assert stored_chunks(spark, store) == want
-    vectors = sinks.read_keyed(spark, store.vectors, table_schema("vector_index")).collect()
+    vectors = store.vectors(spark).collect()
     assert sorted((r.s3_key, r.chunk_index, r.chunk_text) for r in vectors) == want
 
 
+def size_of(path):
+    return sum(f.stat().st_size for f in Path(path).rglob("*.parquet"))
+
+
+def deliver(spark, store, rows, txn=None):
+    texts = spark.createDataFrame([(k, "b", t) for k, t in rows], "s3_key string, source_bucket string, text string")
+    return ingest.ingest_documents(texts, store, txn=txn, **LIMITS)
+
+
+def test_a_batch_writes_in_proportion_to_itself(spark, store):
+    deliver(spark, store, [(f"k{k}", f"One {k} two. Three {k} four. " * 60) for k in range(300)])
+    before = size_of(store.root)
+    deliver(spark, store, [("k7", "New.")])
+    assert size_of(store.root) - before < before / 10
+    assert [c for c in stored_chunks(spark, store) if c[0] == "k7"] == [("k7", 0, "New.")]
+    assert len({c[0] for c in stored_chunks(spark, store)}) == 300
+
+
+def test_a_crash_between_files_leaves_the_old_state(spark, store, monkeypatch):
+    deliver(spark, store, [("a", "One."), ("b", "Two.")], "x-0")
+    old = stored_chunks(spark, store), store.vectors(spark).count(), store.documents(spark).count()
+
+    def broken(df, text, vector):
+        return df.withColumn(vector, F.raise_error(F.lit("lost")).cast("array<float>"))
+
+    texts = spark.createDataFrame([("a", "b", "Changed."), ("c", "b", "More.")], "s3_key string, source_bucket string, text string")
+    with pytest.raises(Exception, match="lost"):
+        ingest.ingest_documents(texts, store, broken, txn="x-1", **LIMITS)
+    assert (stored_chunks(spark, store), store.vectors(spark).count(), store.documents(spark).count()) == old
+    assert ingest.ingest_documents(texts, store, txn="x-1", **LIMITS) == 1
+    assert [c[2] for c in stored_chunks(spark, store)] == ["Changed.", "Two.", "More."]
+
+
+def test_a_repeated_batch_is_left_out(spark, store):
+    assert deliver(spark, store, [("a", "One.")], "x-0") == 0
+    before = size_of(store.root)
+    assert deliver(spark, store, [("a", "Other.")], "x-0") is None
+    assert size_of(store.root) == before and stored_chunks(spark, store) == [("a", 0, "One.")]
+
+
+def test_compaction_and_vacuum(spark, store):
+    assert store.compact(spark) is None
+    for k in range(3):
+        deliver(spark, store, [("a", f"Text {k}."), (f"b{k}", "Same.")], f"x-{k}")
+    deliver(spark, store, [("b0", "")], "x-3")
+    rows = stored_chunks(spark, store)
+    parents = sorted(store.documents(spark).collect())
+    assert store.compact(spark) == 4 and [r.version for r in store.log(spark)] == [4]
+    store.vacuum(spark)
+    assert len(list((Path(store.root) / "data" / "documents").iterdir())) == 1
+    assert stored_chunks(spark, store) == rows and sorted(store.documents(spark).collect()) == parents
+    assert deliver(spark, store, [("a", "Again.")], "x-2") is None
+    assert deliver(spark, store, [("a", "Last.")], "x-4") == 5
+    assert ("a", 0, "Last.") in stored_chunks(spark, store)
+
+
+def test_two_writers_cannot_take_one_version(spark, store):
+    deliver(spark, store, [("a", "One.")])
+    other = spark.createDataFrame([(0, "c", None, False)], "version long, commit string, txn string, replaces boolean")
+    other.write.parquet(f"{store.root}/log/{1:012d}")
+    folder = Path(store.root) / "log" / f"{1:012d}"
+    for file in folder.iterdir():
+        file.unlink()
+    with pytest.raises(Exception, match="already exists"):
+        deliver(spark, store, [("a", "Two.")])
+
+
 def test_latest_delivery_of_a_key(spark, store):
     at = [dt.datetime(2024, 1, d) for d in (1, 3, 2)]
     rows = [("k", "b", text, when) for text, when in zip(("Old.", "Last.", "Zwischen."), at)]
