@@ -8,10 +8,10 @@ dataset is reported like any other.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from corvane import fixed_values as fixed
@@ -89,6 +89,29 @@ def required_field_audit(
     return counted.select("dataset_name", F.inline(entries))
 
 
+def observed_audit(
+    dataset: str, rows: DataFrame, required: Iterable[str] = fixed.REQUIRED_FIELDS
+) -> tuple[DataFrame, Callable[[], list[tuple]]]:
+    """The rows, counted as whoever writes them reads them, and a function for the audit afterwards.
+
+    Nothing is read for the audit: presence goes by column names, rows and filled fields are counted on the way.
+    The function gives the entries of ``required_field_audit`` and waits for the write.
+    """
+    required, seen = list(required), Observation()
+    filled = [F.count(F.col(f"`{f}`") if f in rows.columns else F.lit(None)) for f in required]
+    counts = [c.alias(f"filled_{i}") for i, c in enumerate(filled)]
+    counted = rows.observe(seen, F.count(F.lit(1)).alias("rows"), *counts)
+
+    def entries() -> list[tuple]:
+        got = seen.get
+        return [
+            (dataset, f, "STRING", True, f in rows.columns, got["rows"], got[f"filled_{i}"])
+            for i, f in enumerate(required)
+        ]
+
+    return counted, entries
+
+
 def missing_fields(metadata: DataFrame) -> DataFrame:
     return metadata.filter(~F.col("is_present")).select("dataset_name", "column_name")
 

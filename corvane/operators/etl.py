@@ -60,9 +60,9 @@ def coerce_types(
     )
 
 
-def pack_payload(df: DataFrame, source_file: Column, source_type: Column) -> DataFrame:
-    """Rows as the structured store keeps them: where from, and a VARIANT of the rest."""
-    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+def pack_payload(df: DataFrame, source_file: Column, source_type: Column, without: tuple[str, ...] = ()) -> DataFrame:
+    """Rows as the structured store keeps them: where from, and a VARIANT of all columns but ``without``."""
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns if c not in without])
     return df.select(
         source_file.alias("source_file"),
         source_type.alias("source_type"),

@@ -427,3 +427,13 @@ def _guarded(name: str, sql: str) -> str:
 
 
 ORACLES.update({name: _guarded(name, sql) for name, sql in GUARDED.items()})
+ORACLES["stream_uploads"] = """
+SELECT 'raw/csv/event_type=' || event_type || '/' AS folder, 'csv' AS source_type, event_type AS dataset,
+  CAST(event_id AS BIGINT) AS record_id, event_type AS source_system, CAST(NULL AS BIGINT) AS conv_id,
+  CAST(NULL AS BIGINT) AS turn, CAST(NULL AS INT) AS n_chars
+FROM events
+UNION ALL
+SELECT 'raw/json/role=' || role || '/', 'json', role, NULL, NULL, CAST(conv_id AS BIGINT), CAST(turn AS BIGINT),
+  CAST(length(text) AS INT)
+FROM conversations
+"""

@@ -678,6 +678,33 @@ def stream_structured(spark, sf_dir):
     )
 
 
+@query
+def stream_uploads(spark, sf_dir):
+    """One stream over uploads of two kinds and several datasets: what was stored, by file."""
+    folder, root = fresh_path(spark, "uploads"), fresh_path(spark, "load")
+    events = given.table(spark, sf_dir, "events").select(
+        F.col("event_id").cast("string").alias(" Record ID"), F.col("event_type").alias("Source System"), "value", "event_type"
+    )
+    # a file or more for each type of event, as a client would upload them
+    events.coalesce(1).write.options(header="true", escape='"').partitionBy("event_type").csv(f"{folder}/raw/csv")
+    given.table(spark, sf_dir, "conversations").coalesce(1).write.partitionBy("role").json(f"{folder}/raw/json")
+    store = ingest.DocumentStore(f"{root}/store")
+    for _ in range(2):  # the second run of a stream finds nothing new
+        uploads = files.scan_uploads(spark, folder, stream=True)
+        ingest.upload_stream(uploads, store, root, f"{root}/checkpoint").awaitTermination()
+    payload = F.col("raw_payload")
+    stored = spark.read.parquet(f"{root}/structured_data")
+    return stored.select(
+        F.regexp_replace("source_file", "part-.*", "").alias("folder"), "source_type",
+        F.substring_index("dataset_name", "=", -1).alias("dataset"),
+        etl.payload_field(payload, "record_id", "bigint").alias("record_id"),
+        etl.payload_field(payload, "source_system", "string").alias("source_system"),
+        etl.payload_field(payload, "conv_id", "bigint").alias("conv_id"),
+        etl.payload_field(payload, "turn", "bigint").alias("turn"),
+        F.length(etl.payload_field(payload, "text", "string")).alias("n_chars"),
+    )
+
+
 # Costs.
 
 

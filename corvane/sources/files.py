@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import partial, reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corvane.functions.keys import upload_handler, upload_type
+from corvane.functions.keys import upload_handler, upload_key, upload_type
+from corvane.session import side_by_side
 
 UPLOAD_EVENT = (
     "Records array<struct<s3: struct<bucket: struct<name: string>, object: struct<key: string>>>>"
@@ -36,6 +39,50 @@ def scan_documents(
     )
 
 
+def scan_uploads(
+    spark: SparkSession, folder: str, *, stream: bool = False, per_batch: int | None = None
+) -> DataFrame:
+    """Uploads of every kind below a folder, as ``scan_documents`` gives them. Contents not asked for are not read."""
+    return (
+        _reader(spark, stream, per_batch)
+        .format("binaryFile")
+        .schema("path string, modificationTime timestamp, length bigint, content binary")
+        .option("recursiveFileLookup", "true")
+        .load(folder)
+    )
+
+
+#: Holds the path of the file a row comes from, until the row is packed.
+SOURCE = "_source_file"
+
+
+def read_files(spark: SparkSession, paths: list[str], kind: str) -> DataFrame:
+    """CSV or JSON-lines files of one dataset as one table, with the file of each row in ``SOURCE``.
+
+    CSV columns are texts and go by name: files whose headers differ in order, or have columns that others
+    lack, are read in groups of one header each. JSON types are inferred over all files; lines that do not
+    parse stay, whole, in ``_corrupt_record``.
+    """
+    source = upload_key(F.col("_metadata.file_path")).alias(SOURCE)
+    if kind == "json":
+        rows = spark.read.json(paths)
+        return rows.select(*(F.col(f"`{c}`") for c in rows.columns), source)
+    form = {"header": "true", "escape": '"', "multiLine": "true"}
+
+    def header(path: str) -> tuple[str, ...]:
+        return tuple(spark.read.options(**form).csv(path).columns)
+
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for path, columns in zip(paths, side_by_side(spark, [partial(header, x) for x in paths]), strict=True):
+        groups.setdefault(columns, []).append(path)
+    tables = []
+    for columns, own in sorted(groups.items()):
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+        rows = spark.read.options(**form).schema(schema).csv(own)
+        tables.append(rows.select(*(F.col(f"`{c}`") for c in columns), source))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
+
+
 def scan_csv(
     spark: SparkSession,
     folder: str,

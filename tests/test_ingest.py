@@ -210,6 +210,78 @@ def test_structured_stream(spark, tmp_path):
     assert run() == {(1, 2.5), (2, None), (3, 4.0)}
 
 
+def put(folder, name, text):
+    target = folder / "raw" / name
+    target.parent.mkdir(parents=True, exist_ok=True)
+    target.write_text(text)
+
+
+def test_one_stream_takes_every_kind(spark, tmp_path, store):
+    folder, root = tmp_path / "in", str(tmp_path / "w")
+    put(folder, "csv/sales/1.csv", " Record ID,Source System,Amount\n1,crm,2\n2,,3\n")
+    put(folder, "csv/sales/2.csv", "Amount,Region, Record ID\n7,north,3\n")  # other order, other columns
+    put(folder, "csv/visits.csv", "record_id\n9\n")
+    put(folder, "json/people/a.json", '{"name": "x", "age": 1}\nnot json\n{"name": "y", "age": "old"}\n')
+    put(folder, "other/z.csv", "a\n1\n")
+    put_pdf(folder, "d.pdf", "One two three.")
+
+    def stored():
+        rows = spark.read.parquet(f"{root}/structured_data")
+        names = [("record_id", "int"), ("amount", "int"), ("region", "string"), ("name", "string"), ("age", "string"), ("_corrupt_record", "string")]
+        fields = [F.try_variant_get("raw_payload", f"$.{n}", t) for n, t in names]
+        return sorted(map(tuple, rows.select("dataset_name", "source_file", *fields).collect()), key=str)
+
+    def run():
+        uploads = files.scan_uploads(spark, str(folder), stream=True)
+        ingest.upload_stream(uploads, store, root, f"{tmp_path}/checkpoint", **LIMITS).awaitTermination()
+
+    run()
+    want = [
+        ("people", "raw/json/people/a.json", None, None, None, "x", "1", None),
+        ("people", "raw/json/people/a.json", None, None, None, "y", "old", None),
+        ("people", "raw/json/people/a.json", None, None, None, None, None, "not json"),
+        ("sales", "raw/csv/sales/1.csv", 1, 2, None, None, None, None),
+        ("sales", "raw/csv/sales/1.csv", 2, 3, None, None, None, None),
+        ("sales", "raw/csv/sales/2.csv", 3, 7, "north", None, None, None),
+        ("visits.csv", "raw/csv/visits.csv", 9, None, None, None, None, None),
+    ]
+    assert stored() == sorted(want, key=str)
+    assert stored_chunks(spark, store) == [("raw/pdf/d.pdf", 0, "One two three.")]
+    audit = spark.read.parquet(f"{root}/glue_catalog_metadata").filter("dataset_name = 'sales'")
+    assert {(r.column_name, r.is_present, r.row_count, r.filled_count) for r in audit.collect()} == {
+        ("record_date", False, 3, 0), ("source_system", True, 3, 1), ("record_id", True, 3, 3)
+    }
+    put(folder, "csv/sales/3.csv", "Record ID\n4\n")
+    run()
+    assert stored() == sorted([*want, ("sales", "raw/csv/sales/3.csv", 4, None, None, None, None, None)], key=str)
+
+
+def test_a_repeated_batch_of_uploads_changes_nothing(spark, tmp_path, store):
+    folder, root = tmp_path / "in", str(tmp_path / "w")
+    put(folder, "csv/sales/1.csv", "record_id\n1\n")
+    put(folder, "json/people/a.json", '{"name": "x"}\n')
+    put_pdf(folder, "d.pdf", "One.")
+    uploads = files.scan_uploads(spark, str(folder))
+    for _ in range(2):
+        assert ingest.take_uploads(uploads, store, root, "s-0", **LIMITS) == {"people": 1, "sales": 1}
+    assert spark.read.parquet(f"{root}/structured_data").count() == 2
+    assert len(store.log(spark)) == 1 and len(stored_chunks(spark, store)) == 1
+
+
+def test_a_load_reads_its_input_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def touched(x):
+        seen.add(1)
+        return x
+
+    rows = spark.createDataFrame([(str(k), "x") for k in range(50)], "record_id string, source_system string")
+    rows = rows.withColumn("record_id", touched.asNondeterministic()("record_id"))
+    assert ingest.load_structured(rows, str(tmp_path), "d", "json", load_id="a") == 50
+    assert seen.value == 50
+
+
 def test_repeated_batch_replaces_itself(spark, tmp_path):
     rows = spark.createDataFrame([("1", "x")], "record_id string, source_system string")
     for _ in range(2):
