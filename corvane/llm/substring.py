@@ -45,8 +45,14 @@ def word_hashes(raw: np.ndarray) -> np.ndarray:
             end = min(len(raw), end + PART)
         part = raw[at:end]
         begin, stop = word_places(part)
-        sums = anchors.prefix_sums(_BYTES[part])
-        out.append(anchors.mix(anchors.stretch_hash(sums, begin, stop) ^ anchors.mix((stop - begin).astype(np.uint64))))
+        size = stop - begin
+        first = np.cumsum(size) - size
+        own = np.repeat(begin - first, size) + np.arange(int(size.sum()))
+        place = (own - np.repeat(begin, size)).astype(np.uint64)
+        # each byte is mixed with its place before bytes are summed: no regular text cancels out
+        value = anchors.mix(_BYTES[part[own]] + place * np.uint64(0x9E3779B97F4A7C15))
+        sums = np.add.reduceat(value, first) if len(first) else value
+        out.append(anchors.mix(sums ^ anchors.mix(size.astype(np.uint64))))
         at = end
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 

@@ -6,7 +6,7 @@ import re
 import numpy as np
 import pytest
 
-from corvane.llm import anchors, repeats, substring, suffixes
+from corvane.llm import anchors, minhash, repeats, substring, suffixes
 
 
 def brute(sequences, window):
@@ -146,3 +146,16 @@ def test_matching_statistics():
             assert got[end] == best
         automaton.add(own)
         added.append(own)
+
+
+@pytest.mark.parametrize("n", [10, 11])
+def test_regular_words_are_told_apart(spark, n):
+    """Words without a sign in common at any place, which a polynomial hash modulo 2**64 takes for one."""
+    a, b = "a", "b"
+    for _ in range(n):
+        a, b = a + b, b + a
+    one, other = " ".join([a] * 11 + [b] * 11), " ".join([b] * 11 + [a] * 11)
+    docs = spark.createDataFrame([(1, one), (2, other)], "doc_id long, text string")
+    assert [r.n_removed for r in substring.remove_repeats(docs).collect()] == [0, 0]
+    found = minhash.near_copies(docs).collect()
+    assert all(r.kept for r in found)
