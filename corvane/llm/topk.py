@@ -101,6 +101,13 @@ class Index:
         return self.rows[source], np.repeat(value, size).astype(np.float64)
 
 
+def exact_top(ids: np.ndarray, vectors: np.ndarray, query: np.ndarray, k: int, skip: int | None) -> list[tuple[int, int]]:
+    """As ``Index.top`` by integers of any size, for components whose products a long could not hold."""
+    scores = [min(max(int(s), -(1 << 63)), (1 << 63) - 1) for s in vectors.astype(object) @ query.astype(object)]
+    rows = sorted((-s, int(i)) for s, i in zip(scores, ids, strict=True) if i != skip)
+    return [(i, -s) for s, i in rows[:k]]
+
+
 def integer_vectors(vectors: DataFrame, column: str, scale: int = 256) -> DataFrame:
     """``vec_id`` and the vector with each component x as floor(scale * x).
 
@@ -121,7 +128,8 @@ def search(queries: DataFrame, rows: DataFrame, k: int = K, skip_own: bool = Tru
     ``query_id``, ``rank`` from 1, ``vec_id`` and ``score``; ties go to the smaller
     id; fewer rows than k, fewer results. With ``skip_own`` a query does not find
     rows of its own id. Vectors of another length than the query's have no score
-    with it. Of rows with one id and vector each counts.
+    with it. Of rows with one id and vector each counts. Scores are exact whatever
+    the components; one beyond a long's range is given as that range's end.
     """
     row_blocks = max(1, -(-rows.count() // ROWS))
     query_blocks = max(1, -(-queries.count() // QUERIES))
@@ -147,9 +155,20 @@ def search(queries: DataFrame, rows: DataFrame, k: int = K, skip_own: bool = Tru
             asks = own["asks"].to_numpy()
             if not size or asks.all() or not asks.any():
                 continue
-            index = Index(own["vec_id"].to_numpy()[~asks], np.stack(own["vector"].to_numpy()[~asks]).astype(np.int64))
+            ids = own["vec_id"].to_numpy()[~asks]
+            vectors = np.stack(own["vector"].to_numpy()[~asks]).astype(np.int64)
+            # below it, sums of products stay in a long
+            limit = 1 << (60 - int(size).bit_length()) // 2
+            wide = ((vectors >= limit) | (vectors <= -limit)).any(1)
+            index = Index(ids[~wide], vectors[~wide]) if not wide.all() else None
             for key, vector in zip(own["vec_id"].to_numpy()[asks], own["vector"].to_numpy()[asks], strict=True):
-                found = index.top(vector.astype(np.int64), k, key if skip_own else None)
+                query, skip = vector.astype(np.int64), key if skip_own else None
+                if ((query >= limit) | (query <= -limit)).any():
+                    found = exact_top(ids, vectors, query, k, skip)
+                else:
+                    found = index.top(query, k, skip) if index else []
+                    if wide.any():
+                        found += exact_top(ids[wide], vectors[wide], query, k, skip)
                 out += [(key, i, s) for i, s in found]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype("int64")
 

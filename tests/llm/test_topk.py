@@ -43,6 +43,22 @@ def test_search_over_blocks(spark, monkeypatch):
         assert [got[q][k] for k in range(1, 6)] == brute(ids, whole, whole[q], 5, q)
 
 
+def test_large_values(spark):
+    """Components whose products no long holds leave the true scores of others alone."""
+    big = 1 << 40
+    rows = [(k, [k - 20, 3 * k % 7, -k]) for k in range(40)] + [(100, [big, 1, 0]), (102, [0, big, 5]), (104, [1 << 62, -(1 << 62), 9])]
+    df = spark.createDataFrame(rows, "vec_id long, vector array<long>")
+    got = {}
+    for r in topk.search(df.filter("vec_id % 2 = 0"), df).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    most = (1 << 63) - 1
+    for key, query in rows:
+        if key % 2 == 0:
+            scores = [(i, sum(a * b for a, b in zip(query, v))) for i, v in rows if i != key]
+            want = sorted((-min(max(s, -most - 1), most), i) for i, s in scores)[:5]
+            assert sorted(got[key]) == [(n + 1, i, -s) for n, (s, i) in enumerate(want)]
+
+
 def test_nothing(spark):
     none = topk.integer_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>"), "embedding")
     assert topk.search(none, none).collect() == []
