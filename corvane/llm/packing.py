@@ -2,7 +2,7 @@
 
 A document longer than a window is first cut into full windows; its rest, and
 every shorter document, is one piece. Pieces are dealt by a hash of document and
-start into groups of about ``GROUP_DOCS`` documents, so no source, document or
+start into groups of about ``GROUP_PIECES`` pieces, so no source, document or
 length can crowd one. Within a group pieces go from the longest to the shortest
 into the open window with the least room that still fits, which a segment tree
 over remaining capacity finds in log2(window) steps. ``windows`` writes the ids of
@@ -28,8 +28,8 @@ from corvane.llm import words
 from corvane.llm.bpe import blocks
 
 WINDOW = 2048
-#: Documents of one packing group, on average.
-GROUP_DOCS = 1024
+#: Pieces of one packing group, on average; three times as many where every byte is a token.
+GROUP_PIECES = 1024
 END_ID = 1
 #: Fills a window behind its last piece.
 PAD_ID = 0
@@ -127,26 +127,31 @@ def best_fit(lengths: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray,
     return number, offset, used
 
 
-def pack(cut: DataFrame, documents: int, window: int = WINDOW) -> DataFrame:
+def expected_pieces(docs: DataFrame, window: int = WINDOW) -> int:
+    """About how many pieces the documents have, at three bytes a token; never less than a third of them."""
+    length = F.coalesce(F.octet_length("text"), F.lit(0))
+    return docs.agg(F.sum(1 + F.floor(length / F.lit(3 * window))).alias("n")).first().n or 0
+
+
+def pack(cut: DataFrame, expected: int, window: int = WINDOW) -> DataFrame:
     """A place for every piece: ``sequence_id`` and ``offset``.
 
-    ``documents`` is the number of documents behind the pieces and sets the number
-    of groups. Pieces that are alike in every column may trade places; nothing
+    ``expected`` is about the number of pieces and sets the number of groups. Pieces that are alike in every column may trade places; nothing
     else depends on the order of rows. No pieces, no rows.
     """
 
     def place(frame: pd.DataFrame) -> pd.DataFrame:
         return placed(frame, window)[0].drop(columns="packing_group")
 
-    return dealt(cut, documents).groupBy("packing_group").applyInPandas(place, PLACED)
+    return dealt(cut, expected).groupBy("packing_group").applyInPandas(place, PLACED)
 
 
-def windows(cut: DataFrame, documents: int, window: int = WINDOW) -> DataFrame:
+def windows(cut: DataFrame, expected: int, window: int = WINDOW) -> DataFrame:
     """The places that ``pack`` gives, and the packed windows themselves.
 
     ``cut`` holds ``ids``. The row of the first piece of each window (``offset`` 0)
     carries the whole window as ``window_ids``, little-endian unsigned 32-bit ids,
-    PAD_ID behind the last piece; it is null in other rows. ``ids_crc32`` is taken
+    PAD_ID behind the last piece unless what is filled is a power of two long; it is null in other rows. ``ids_crc32`` is taken
     from the filled window.
     """
 
@@ -157,17 +162,19 @@ def windows(cut: DataFrame, documents: int, window: int = WINDOW) -> DataFrame:
         number = (frame["sequence_id"] & 0xFFFFFFFF).to_numpy()
         for ids, row, at, length in zip(frame["ids"], number, frame["offset"], frame["length"], strict=True):
             filled[row, at : at + length] = np.frombuffer(ids, "<u4")
+        ends = np.bincount(number, frame["length"], used).astype(np.int64)
+        ends[ends & (ends - 1) != 0] = window
         for row, at, length in zip(number, frame["offset"], frame["length"], strict=True):
-            raws.append(None if at else filled[row].tobytes())
+            raws.append(None if at else filled[row, : ends[row]].tobytes())
             sums.append(zlib.crc32(filled[row, at : at + length]))
         frame["ids_crc32"], frame["window_ids"] = sums, raws
         return frame.drop(columns=["packing_group", "ids"])
 
-    return dealt(cut, documents, "ids").groupBy("packing_group").applyInPandas(fill, FILLED)
+    return dealt(cut, expected, "ids").groupBy("packing_group").applyInPandas(fill, FILLED)
 
 
-def dealt(cut: DataFrame, documents: int, *more: str) -> DataFrame:
-    groups = max(1, -(-documents // GROUP_DOCS))
+def dealt(cut: DataFrame, expected: int, *more: str) -> DataFrame:
+    groups = max(1, -(-expected // GROUP_PIECES))
     return cut.select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", *more,
         F.pmod(F.xxhash64("doc_id", "start"), F.lit(groups)).alias("packing_group"),

@@ -38,7 +38,7 @@ def query(plan):
 def op2_packing(spark, sf_dir):
     docs = texts(read(spark, sf_dir, "documents"))
     cut = packing.pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), with_ids=True)
-    return packing.windows(cut, docs.count()).drop("window_ids")
+    return packing.windows(cut, packing.expected_pieces(docs)).drop("window_ids")
 
 
 @query

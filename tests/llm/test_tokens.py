@@ -99,7 +99,7 @@ def test_best_fit_takes_the_tightest():
 
 
 def test_packing(spark, library, monkeypatch):
-    monkeypatch.setattr(packing, "GROUP_DOCS", 20)
+    monkeypatch.setattr(packing, "GROUP_PIECES", 20)
     given = [*mixed(60, 4), None]
     docs = spark.createDataFrame(list(enumerate(given)), "doc_id long, text string").repartition(3)
     rows = packing.pack(packing.pieces(docs, PATH, 64), docs.count(), 64).collect()
@@ -122,7 +122,7 @@ def test_packing(spark, library, monkeypatch):
 
 
 def test_windows_hold_the_ids(spark, library, monkeypatch):
-    monkeypatch.setattr(packing, "GROUP_DOCS", 20)
+    monkeypatch.setattr(packing, "GROUP_PIECES", 20)
     given = [*mixed(60, 5), None]
     docs = spark.createDataFrame(list(enumerate(given)), "doc_id long, text string").repartition(3)
     rows = packing.windows(packing.pieces(docs, PATH, 64, with_ids=True), docs.count(), 64).collect()
@@ -136,13 +136,28 @@ def test_windows_hold_the_ids(spark, library, monkeypatch):
         for r in own:
             assert r.ids_crc32 == zlib.crc32(packed[r.sequence_id][r.offset : r.offset + r.length].tobytes())
             left[r.sequence_id][r.offset : r.offset + r.length] = packing.PAD_ID
-    assert all(len(w) == 64 and (w == packing.PAD_ID).all() for w in left.values())
+    for key, w in left.items():
+        used = sum(r.length for r in rows if r.sequence_id == key)
+        assert len(w) == (used if used in (1, 2, 4, 8, 16, 32, 64) else 64) and (w == packing.PAD_ID).all()
     places = packing.pack(packing.pieces(docs, PATH, 64), docs.count(), 64).collect()
     assert sorted(tuple(r) for r in places) == sorted(tuple(r)[:7] for r in rows)
 
 
+@pytest.mark.parametrize(("words", "size"), [(31, 32), (30, 64), (63, 64), (0, 1)])
+def test_windows_of_a_power_of_two_are_not_padded(spark, words, size):
+    docs = spark.createDataFrame([(1, " a" * words)], "doc_id long, text string")
+    row = packing.windows(packing.pieces(docs, PATH, 64, with_ids=True), 1, 64).first()
+    assert row.length == words + 1 and len(row.window_ids) == 4 * size
+
+
+def test_expected_pieces(spark):
+    docs = spark.createDataFrame([(1, "a" * 599), (2, None), (3, "é" * 400)], "doc_id long, text string")
+    assert packing.expected_pieces(docs, 100) == 2 + 1 + 3
+
+
 def test_packing_of_nothing(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
+    assert packing.expected_pieces(docs) == 0
     assert packing.pack(packing.pieces(docs, PATH), 0).collect() == []
     assert bpe.encode(docs, PATH).collect() == []
 
