@@ -47,8 +47,9 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token windows of all documents, best fit decreasing: their ids, and the place of every piece."""
-    cut = packing.pieces(texts(docs), public_tokenizers.path("byte_bpe_50k.json"), with_ids=True)
-    return packing.windows(cut, docs.count())
+    docs = texts(docs)
+    cut = packing.pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), with_ids=True)
+    return packing.windows(cut, packing.expected_pieces(docs))
 
 
 STAGES = [
