@@ -31,7 +31,9 @@ from corvane.llm.bpe import blocks, byte_alphabet
 from corvane.llm.tables import fresh_folder, texts
 
 #: Bytes of text whose documents share one list of pairs.
-BLOCK_BYTES = 1 << 25
+BLOCK_BYTES = 1 << 24
+#: Bytes of text merged at once.
+MERGED_BYTES = 1 << 20
 #: About so many tokens of A go through the merge between two places where tokens of both end.
 STRETCH = 64
 #: Stands for a word whose tokens do not spell it.
@@ -224,7 +226,7 @@ def align(docs: DataFrame, a_path: str, b_path: str, with_groups: bool = False)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, number, held, size = TaskContext.get().partitionId(), 0, [], 0
-        for part, given in blocks(batches):
+        for part, given in blocks(batches, chars=MERGED_BYTES):
             held.append(_rows(part, Aligned(given, a_path, b_path), with_groups))
             size += sum(map(len, given))
             if size >= BLOCK_BYTES:

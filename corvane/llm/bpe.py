@@ -154,8 +154,11 @@ def compiled(path: str) -> tuple[MergeAutomaton, words.PieceTable]:
     return automaton, words.PieceTable(automaton.encode_all)
 
 
-def blocks(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """The batches in parts of about BLOCK_CHARS bytes of text, with the texts (null: empty)."""
+def blocks(
+    batches: Iterator[pa.RecordBatch], column: str = "text", chars: int = 0
+) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """The batches in parts of about ``chars`` (or BLOCK_CHARS) bytes of text, with the texts (null: empty)."""
+    chars = chars or BLOCK_CHARS
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -164,7 +167,7 @@ def blocks(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[
         begin = 0
         while begin < batch.num_rows:
             base = sizes[begin - 1] if begin else 0
-            end = max(begin + 1, int(np.searchsorted(sizes, base + BLOCK_CHARS, "right")))
+            end = max(begin + 1, int(np.searchsorted(sizes, base + chars, "right")))
             yield batch.slice(begin, end - begin), [t or "" for t in texts.slice(begin, end - begin).to_pylist()]
             begin = end
 
