@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from corvane.llm import anchors
 from corvane.llm.bpe import blocks
 from corvane.llm.substring import word_hashes
-from corvane.llm.tables import checkpointed, fresh_folder
+from corvane.llm.tables import checkpointed, fresh_folder, release
 
 SHINGLE = 4
 CHUNKS, CHUNK_SLOTS = 12, 5
@@ -89,6 +89,7 @@ def signed(docs: DataFrame, size: int) -> DataFrame:
     kind = "doc_id long, n_shingles long, set_a long, set_b long, keys array<long>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for part, texts in blocks(batches):
             sets = [shingles(t, size) for t in texts]
             sizes = np.array([len(s) for s in sets], np.int64)

@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -26,6 +25,7 @@ from pyspark.sql import functions as F
 
 from corvane.llm import words
 from corvane.llm.bpe import blocks
+from corvane.llm.tables import kept
 
 WINDOW = 2048
 #: Pieces of one packing group, on average; three times as many where every byte is a token.
@@ -38,8 +38,12 @@ PLACED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 FILLED = f"{PLACED}, window_ids binary"
 
 
-@lru_cache(1)
 def tokenizer(path: str):
+    """The table of pieces for a vocabulary, and its special tokens; a worker keeps one."""
+    return kept(("packing", path), lambda: _tokenizer(path))
+
+
+def _tokenizer(path: str):
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"

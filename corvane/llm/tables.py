@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import uuid
+from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +26,29 @@ def texts(docs: DataFrame) -> DataFrame:
     )
 
 
+#: What a Python worker keeps from task to task: one thing at most, by its key.
+_kept: dict = {}
+
+
+def kept(key: tuple, make: Callable[[], object]) -> object:
+    """What ``make`` gives, kept by the worker for the next task that asks for the same ``key``."""
+    if key not in _kept:
+        release()
+        _kept[key] = make()
+    return _kept[key]
+
+
+def release() -> None:
+    """Gives back what the worker keeps, and memory that is free, so that operators in turn do not add up."""
+    _kept.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # only some C libraries have it
+        pass
+
+
 def schema_of(text: str) -> T.StructType:
     return T._parse_datatype_string(text)
 

@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 
 from corvane.llm import anchors
 from corvane.llm.bpe import blocks
-from corvane.llm.tables import fresh_folder
+from corvane.llm.tables import fresh_folder, release
 from corvane.llm.tokenstore import file_system
 
 #: Labelled documents of each label that serve as examples, at most.
@@ -327,6 +327,7 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> str:
     held = spark.read.parquet(f"{folder}/examples")
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         hashes, labels = np.zeros(0, np.uint64), set()
         for batch in batches:
             labels |= set(batch.column(0).to_pylist())
@@ -339,6 +340,7 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> str:
     terms = terms.path if terms else None
 
     def holding(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         number = load_array(terms) if terms else np.zeros(0, np.uint64)
         total = np.zeros(len(number) + 1, np.int64)
         for _, texts in blocks(batches):
@@ -365,7 +367,10 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> str:
             one = batch.filter(pa.array(~count))
             for key, y, t, n in zip(*(c.to_pylist() if k < 2 else c for k, c in enumerate(one.columns)), strict=True):
                 some.append((key, y, t.values.to_numpy().view(np.uint64), n.values.to_numpy()))
-        yield pa.RecordBatch.from_arrays([pa.array([made(sorted(some, key=lambda x: x[0]), number, corpus, totals).save(folder)])], ["path"])
+        path = made(sorted(some, key=lambda x: x[0]), number, corpus, totals).save(folder)
+        del some, corpus, number
+        release()
+        yield pa.RecordBatch.from_arrays([pa.array([path])], ["path"])
 
     model = rows.repartition(1).mapInArrow(weighed, "path string").first()
     return model.path
@@ -423,6 +428,7 @@ def score(docs: DataFrame, model: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("example", pa.int64()), ("cosine", pa.float64())]))
+        release()
         loaded = load(model)
         for part, texts in blocks(batches):
             judged = loaded.judge_all(texts)
@@ -441,9 +447,12 @@ def with_score(docs: DataFrame, model: str, name: str = "toxicity_score") -> Dat
     """``docs`` with all their columns and the score of each ``text`` as a further one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         loaded = load(model)
         for part, texts in blocks(batches):
             found = pa.array([s for s, _ in loaded.judge_all(texts)], pa.float64())
             yield pa.RecordBatch.from_arrays([*part.columns, found], [*part.schema.names, name])
+        del loaded
+        release()
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
