@@ -42,7 +42,9 @@ BLOCK = 32
 #: A term is of many examples if one in so many holds it.
 COMMON = 16
 #: Texts compared at once.
-BATCH = 256
+BATCH = 128
+#: Bytes of text taken from a batch at once.
+PART_BYTES = 1 << 20
 NEIGHBOURS = 15
 BEGINNINGS = (3, 4, 5, 6)
 POST = np.dtype([("example", np.int32), ("weight", np.float32)])
@@ -315,7 +317,7 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> str:
     ).select("one.*")
 
     def all_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in blocks(batches):
+        for part, texts in blocks(batches, chars=PART_BYTES):
             found = [counted_terms([t])[1:] for t in texts]
             lists = (pa.array([x[k].view(np.int64) for x in found], pa.list_(pa.int64())) for k in (0, 1))
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *lists], ["doc_id", "toxic", "terms", "counts"])
@@ -343,7 +345,7 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> str:
         release()
         number = load_array(terms) if terms else np.zeros(0, np.uint64)
         total = np.zeros(len(number) + 1, np.int64)
-        for _, texts in blocks(batches):
+        for _, texts in blocks(batches, chars=PART_BYTES):
             total[-1] += len(texts)
             for begin in range(0, len(texts), BATCH):
                 total[:-1] += np.bincount(counted_terms(texts[begin : begin + BATCH], number)[1], minlength=len(number))
@@ -430,7 +432,7 @@ def score(docs: DataFrame, model: str) -> DataFrame:
         kind = pa.list_(pa.struct([("example", pa.int64()), ("cosine", pa.float64())]))
         release()
         loaded = load(model)
-        for part, texts in blocks(batches):
+        for part, texts in blocks(batches, chars=PART_BYTES):
             judged = loaded.judge_all(texts)
             evidence = [[{"example": k, "cosine": s} for k, s in found] for _, found in judged]
             yield pa.RecordBatch.from_arrays(
@@ -449,7 +451,7 @@ def with_score(docs: DataFrame, model: str, name: str = "toxicity_score") -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
         loaded = load(model)
-        for part, texts in blocks(batches):
+        for part, texts in blocks(batches, chars=PART_BYTES):
             found = pa.array([s for s, _ in loaded.judge_all(texts)], pa.float64())
             yield pa.RecordBatch.from_arrays([*part.columns, found], [*part.schema.names, name])
         del loaded
