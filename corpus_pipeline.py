@@ -17,6 +17,8 @@ from corvane.llm.tables import fresh_folder, read, texts
 
 #: Documents with a score of so much or more are rejected.
 TOXIC = 0.5
+#: Words of a shingle by which near copies are told.
+SHINGLE = 5
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,7 +33,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document of the least id."""
-    kept = minhash.near_copies(texts(docs)).filter("kept").select("doc_id")
+    kept = minhash.near_copies(texts(docs), size=SHINGLE).filter("kept").select("doc_id")
     return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
 
 
