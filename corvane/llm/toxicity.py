@@ -3,16 +3,18 @@
 Terms are words and their beginnings of 3 to 6 letters: all that occur in the
 examples, a bounded, balanced sample of labelled documents (EXAMPLES of each label
 at most). How many documents hold a term is counted over the whole corpus. A
-term's weight is 1 + log of its count, times its idf, times the root of the
-likelihood ratio by which its presence tells the labels of the examples apart, so
-that a few marking words are not drowned in a long text; no term is left out.
+term's weight is 1 + log of its count, times its idf, times a power of the likelihood
+ratio by which its presence tells the labels of the examples apart, so that a few
+marking words are not drowned in a long text; no term is left out. The power is the
+one of POWERS, 0 (plain TF-IDF) among them, with which either half of the examples
+judges the other best.
 
 Examples lie in blocks of BLOCK. Terms of many examples are a matrix that knows the
 largest weight in each block, the others are postings. A text's postings are summed
 first; with the largest weights they bound what a block can hold, and blocks that
 cannot hold a nearer example than those found are skipped: the neighbours are
 exact. Their labels vote, weighted by cosine and by how many labelled documents an
-example stands for.
+example stands for. An example takes no part in judging the row of its own id.
 """
 
 from __future__ import annotations
@@ -36,7 +38,9 @@ from corvane.llm.tokenstore import file_system
 
 #: Labelled documents of each label that serve as examples, at most.
 EXAMPLES = 2048
-#: Added to the root of a term's likelihood ratio, so that every term has a weight.
+#: Powers of a term's likelihood ratio that are tried on the examples.
+POWERS = (0.0, 0.5, 1.0)
+#: Added to that power, so that every term has a weight.
 LEAST = 1e-3
 BLOCK = 32
 #: A term is of many examples if one in so many holds it.
@@ -48,6 +52,8 @@ PART_BYTES = 1 << 20
 NEIGHBOURS = 15
 BEGINNINGS = (3, 4, 5, 6)
 POST = np.dtype([("example", np.int32), ("weight", np.float32)])
+#: A sum that no cosine makes positive.
+LEFT_OUT = -1e6
 #: Votes of no evidence: so much weight at the rate of the labels.
 PRIOR = 0.5
 
@@ -162,6 +168,7 @@ class Model:
         self.post_size = np.bincount(term, minlength=len(self.terms))
         self.post_begin = np.cumsum(self.post_size) - self.post_size
         self.asked = np.zeros(len(self.terms))
+        self.place = {k: n for n, k in enumerate(self.ids.tolist())}
 
     @property
     def rows(self) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -183,7 +190,10 @@ class Model:
         """(cosine, example) of the nearest examples with a common term; ties to the lesser example."""
         return self.nearest_all([(terms, weights)])[0]
 
-    def nearest_all(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> list[list[tuple[float, int]]]:
+    def nearest_all(
+        self, vectors: list[tuple[np.ndarray, np.ndarray]], without: np.ndarray | None = None
+    ) -> list[list[tuple[float, int]]]:
+        """The nearest examples of each vector; ``without`` names the one that each leaves out, or -1."""
         n, width = len(vectors), self.blocks * BLOCK
         if not width:
             return [[] for _ in vectors]
@@ -194,6 +204,9 @@ class Model:
             size = self.post_size[terms]
             flat = self.posts[ranges(self.post_begin[terms], size)].view(POST)
             sums[k] = np.bincount(flat["example"], np.repeat(weights, size) * flat["weight"], minlength=width)
+        if without is not None:
+            own = np.flatnonzero(without >= 0)
+            sums[own, without[own]] = LEFT_OUT
         bound = asked @ self.most + sums.reshape(n, self.blocks, BLOCK).max(2) + self.slack
         scored = np.zeros((n, self.blocks), bool)
 
@@ -233,20 +246,27 @@ class Model:
         """Score and evidence: the ids of the nearest examples with their cosines."""
         return self.judge_all([text])[0]
 
-    def judge_all(self, texts: list[str]) -> list[tuple[float, list[tuple[int, float]]]]:
-        distinct, made = list(dict.fromkeys(texts)), {}
+    def judge_all(self, texts: list[str], ids: list[int | None] | None = None) -> list[tuple[float, list[tuple[int, float]]]]:
+        """``judge`` for each text; where ``ids`` gives a row's id, the example of this id does not vote."""
+        own = [-1] * len(texts) if ids is None else [self.place.get(k, -1) for k in ids]
+        asked = list(zip(texts, own, strict=True))
+        distinct, made = list(dict.fromkeys(asked)), {}
         for begin in range(0, len(distinct), BATCH):
             part = distinct[begin : begin + BATCH]
-            vectors = self.vectors(part)
-            for text, (terms, _), found in zip(part, vectors, self.nearest_all(vectors), strict=True):
-                if not len(terms):
-                    made[text] = (self.empty_score, [])
-                    continue
-                near = np.array([k for _, k in found], np.int64)
-                vote = np.array([s for s, _ in found]) * self.stands_for[near]
-                score = (float((vote * self.label[near]).sum()) + PRIOR * self.rate) / (float(vote.sum()) + PRIOR)
-                made[text] = (score, [(int(self.ids[k]), s) for s, k in found])
-        return [made[t] for t in texts]
+            vectors = self.vectors([t for t, _ in part])
+            near = self.nearest_all(vectors, np.array([k for _, k in part], np.int64))
+            for key, (terms, _), found in zip(part, vectors, near, strict=True):
+                if len(terms):
+                    made[key] = (self.vote(found), [(int(self.ids[k]), s) for s, k in found])
+                else:
+                    made[key] = (self.empty_score, [])
+        return [made[key] for key in asked]
+
+    def vote(self, found: list[tuple[float, int]]) -> float:
+        """The score that neighbours (cosine, example) give."""
+        near = np.array([k for _, k in found], np.int64)
+        vote = np.array([s for s, _ in found]) * self.stands_for[near]
+        return (float((vote * self.label[near]).sum()) + PRIOR * self.rate) / (float(vote.sum()) + PRIOR)
 
     def save(self, folder: str) -> str:
         """Writes the arrays to a new folder below ``folder`` and returns its path."""
@@ -383,6 +403,39 @@ def made(held: list[tuple], number: np.ndarray, corpus: np.ndarray, totals: dict
 
     ``number`` are the terms that count; ``corpus`` says how many documents hold each, and how many there are.
     """
+    if not len(number):
+        return weighted(held, number, corpus, totals, POWERS[0])
+    wrong = [misjudged(held, number, corpus, totals, p) for p in POWERS]
+    return weighted(held, number, corpus, totals, POWERS[wrong.index(min(wrong))])
+
+
+def misjudged(held: list[tuple], number: np.ndarray, corpus: np.ndarray, totals: dict[int, int], power: float) -> float:
+    """How many labelled documents are judged wrongly if each half of the examples is judged by the other.
+
+    The halves are made within each label. An example counts as many documents as it stands for.
+    """
+    turn = {0: 0, 1: 0}
+    halves = ([], [])
+    for one in held:
+        halves[turn[one[1]] % 2].append(one)
+        turn[one[1]] += 1
+    wrong = 0.0
+    for judges, judged in (halves, halves[::-1]):
+        model = weighted(judges, number, corpus, totals, power)
+        for begin in range(0, len(judged), BATCH):
+            part = judged[begin : begin + BATCH]
+            vectors = []
+            for _, _, t, n in part:
+                w = (1 + np.log(n)) * model.idf[at := np.searchsorted(number, t)]
+                vectors.append((at, w / np.sqrt((w**2).sum()) if len(t) else w))
+            for (_, y, t, _), found in zip(part, model.nearest_all(vectors), strict=True):
+                score = model.vote(found) if len(t) else model.empty_score
+                wrong += ((score >= 0.5) != y) * totals[y] / turn[y]
+    return round(wrong, 6)
+
+
+def weighted(held: list[tuple], number: np.ndarray, corpus: np.ndarray, totals: dict[int, int], power: float) -> Model:
+    """``made`` with a given power of the likelihood ratios."""
     rate = totals.get(1, 0) / max(1, sum(totals.values()))
     label = np.array([y for _, y, *_ in held], np.int64)
     n1 = int(label.sum())
@@ -396,7 +449,7 @@ def made(held: list[tuple], number: np.ndarray, corpus: np.ndarray, totals: dict
     counts = np.concatenate([none.astype(np.int64), *(n for *_, n in held)])
     idf = np.log((1 + corpus[-1]) / (1 + corpus[:-1])) + 1
     if len(number):
-        idf *= np.sqrt(telling(label, owner, term, len(number))) + LEAST
+        idf *= telling(label, owner, term, len(number)) ** power + LEAST
     weight = {0: totals.get(0, 0) / max(1, n0), 1: totals.get(1, 0) / max(1, n1)}
     least_weight = min([w for w in weight.values() if w > 0], default=1.0)
     raw = (1 + np.log(counts)) * idf[term]
@@ -433,7 +486,7 @@ def score(docs: DataFrame, model: str) -> DataFrame:
         release()
         loaded = load(model)
         for part, texts in blocks(batches, chars=PART_BYTES):
-            judged = loaded.judge_all(texts)
+            judged = loaded.judge_all(texts, part.column(0).to_pylist())
             evidence = [[{"example": k, "cosine": s} for k, s in found] for _, found in judged]
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array([s for s, _ in judged], pa.float64()), pa.array(evidence, kind)],
@@ -447,12 +500,14 @@ def score(docs: DataFrame, model: str) -> DataFrame:
 
 def with_score(docs: DataFrame, model: str, name: str = "toxicity_score") -> DataFrame:
     """``docs`` with all their columns and the score of each ``text`` as a further one."""
+    key = docs.columns.index("doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
         loaded = load(model)
         for part, texts in blocks(batches, chars=PART_BYTES):
-            found = pa.array([s for s, _ in loaded.judge_all(texts)], pa.float64())
+            judged = loaded.judge_all(texts, part.column(key).to_pylist())
+            found = pa.array([s for s, _ in judged], pa.float64())
             yield pa.RecordBatch.from_arrays([*part.columns, found], [*part.schema.names, name])
         del loaded
         release()

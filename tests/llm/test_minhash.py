@@ -8,11 +8,11 @@ import numpy as np
 from corvane.llm import minhash
 
 
-def brute(rows):
+def brute(rows, size=4):
     sets = {}
     for key, text in rows:
         words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
-        grams = {tuple(words[k : k + 4]) for k in range(len(words) - 3)}
+        grams = {tuple(words[k : k + size]) for k in range(len(words) - size + 1)}
         sets[key] = grams or ({tuple(words)} if words else set())
     root = {k: k for k in sets}
 

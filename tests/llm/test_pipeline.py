@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -12,6 +13,7 @@ from tests.llm.test_minhash import brute as near_copies
 from tests.llm.test_repeats import brute as late_bytes
 
 SF = "/root/testdata/sf0.001"
+NEXT = "/root/testdata/sf0.01"
 
 
 def characters_kept(text, gone):
@@ -28,23 +30,38 @@ def characters_kept(text, gone):
     return b"".join([*out, raw[at:]]).decode()
 
 
-def test_pipeline(spark):
-    given = spark.read.parquet(f"{SF}/documents.parquet")
+def with_toxic(spark, folder):
+    """The small tables with the labelled toxic documents of the next size, which alone hold enough of them."""
+    def both(name, more):
+        one = spark.read.parquet(f"{SF}/{name}.parquet")
+        more = more.withColumn("doc_id", F.col("doc_id") + 10_000)
+        one.unionByName(more).coalesce(1).write.parquet(f"{folder}/{name}.parquet")
+
+    labels = spark.read.parquet(f"{NEXT}/labels.parquet").filter("toxic = 1")
+    both("labels", labels)
+    both("documents", spark.read.parquet(f"{NEXT}/documents.parquet").join(labels, "doc_id", "left_semi"))
+    return str(folder)
+
+
+def test_pipeline(spark, tmp_path):
+    sf = with_toxic(spark, tmp_path)
+    given = spark.read.parquet(f"{sf}/documents.parquet")
     rows = {r.doc_id: r for r in given.collect()}
-    model = toxicity.load(toxicity.fit(given, spark.read.parquet(f"{SF}/labels.parquet")))
+    model = toxicity.load(toxicity.fit(given, spark.read.parquet(f"{sf}/labels.parquet")))
     docs = given
     seen = []
     for name, stage in corpus_pipeline.STAGES:
-        docs = stage(spark, docs, SF)
+        docs = stage(spark, docs, sf)
         seen.append((name, docs.columns, docs.collect()))
     assert [n for n, *_ in seen] == ["toxicity", "near_dedup", "suffix_dedup", "packing"]
     assert all(set(c) == set(given.columns) for _, c, _ in seen[:3])
 
-    clean = {k: r.text or "" for k, r in rows.items() if model.judge(r.text or "")[0] < corpus_pipeline.TOXIC}
+    judged = model.judge_all([r.text or "" for r in rows.values()], list(rows))
+    clean = {k: r.text or "" for (k, r), (s, _) in zip(rows.items(), judged, strict=True) if s < corpus_pipeline.TOXIC}
     assert {r.doc_id: r for r in seen[0][2]} == {k: rows[k] for k in clean}
     assert 0 < len(clean) < len(rows)
 
-    kept = near_copies(list(clean.items()))
+    kept = near_copies(list(clean.items()), corpus_pipeline.SHINGLE)
     first = {k: t for k, t in clean.items() if kept[k][2]}
     assert {r.doc_id: r for r in seen[1][2]} == {k: rows[k] for k in first}
 
@@ -71,7 +88,7 @@ def test_pipeline(spark):
         ids = [*library.encode(want[key], add_special_tokens=False).ids, 1]
         assert [i for r in own for i in packed[r.sequence_id][r.offset : r.offset + r.length].tolist()] == ids
 
-    ran = corpus_pipeline.run(spark, SF).collect()
+    ran = corpus_pipeline.run(spark, sf).collect()
     key = lambda r: (r.doc_id, r.start)
     assert [r[:5] for r in sorted(ran, key=key)] == [r[:5] for r in sorted(seen[3][2], key=key)]
 

@@ -71,3 +71,70 @@ def test_all_terms_of_all_examples_count(spark):
     assert set(model.terms.tolist()) == want
     one = model.judge_all([t for _, t in rows])
     assert one == [model.judge(t) for _, t in rows]
+
+
+def plain(model, text, key=None):
+    """Cosines with every example and their votes, one by one."""
+    terms, weights = model.vector(text)
+    if not len(terms):
+        return model.empty_score, []
+    asked, near = dict(zip(terms.tolist(), weights.tolist(), strict=True)), []
+    for k, (own, w) in enumerate(model.rows):
+        cosine = round(sum(asked.get(t, 0.0) * x for t, x in zip(own.tolist(), w.tolist(), strict=True)), 12)
+        if cosine > 0 and model.ids[k] != key:
+            near.append((-cosine, k))
+    near = [(-s, k) for s, k in sorted(near)[: toxicity.NEIGHBOURS]]
+    votes = [s * model.stands_for[k] for s, k in near]
+    toxic = sum(v * model.label[k] for v, (_, k) in zip(votes, near, strict=True))
+    return (toxic + toxicity.PRIOR * model.rate) / (sum(votes) + toxicity.PRIOR), near
+
+
+def test_votes_of_whole_texts_and_an_example_leaves_itself_out(spark, model):
+    rows = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").orderBy("doc_id").collect()
+    examples = set(model.ids.tolist())
+    assert any(r.doc_id in examples for r in rows)
+    judged = model.judge_all([r.text or "" for r in rows], [r.doc_id for r in rows])
+    for row, (score, evidence) in list(zip(rows, judged, strict=True))[::7]:
+        want, near = plain(model, row.text or "", row.doc_id)
+        assert abs(score - want) < 1e-9
+        assert np.allclose([s for _, s in evidence], [s for s, _ in near])
+        assert row.doc_id not in [k for k, _ in evidence]
+    text = "a lone text of its own"
+    docs = spark.createDataFrame([(1, text), (2, text), (3, "b")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (3, 0)], "doc_id long, toxic int")
+    found = {r.doc_id: [e.example for e in r.evidence] for r in toxicity.score(docs, toxicity.fit(docs, labels)).collect()}
+    assert found[1] == [] and found[2] == [1]
+
+
+def test_odd_rows_keep_their_columns(spark):
+    """Repeated rows, null ids and texts, a long text, further columns of clashing names."""
+    rows = [(1, "vile words here", "x"), (1, "vile words here", "x"), (2, "calm words there", "y"), (None, None, "z"), (4, "", None)]
+    rows.append((5, "vile " * 200_000, "long"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, score string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
+    out = toxicity.with_score(docs, toxicity.fit(docs, labels)).collect()
+    assert sorted(((r.doc_id, r.text, r.score) for r in out), key=str) == sorted(rows, key=str)
+    assert all(0 <= r.toxicity_score <= 1 for r in out)
+    assert len({r.toxicity_score for r in out if r.doc_id == 1}) == 1
+
+
+def test_the_power_is_chosen_on_the_examples():
+    """Marking words drown in long texts unless weighted; where every word marks, plain cosine does."""
+    rng = np.random.default_rng(3)
+    n, words = 80, 400
+    held = []
+    for k in range(n):
+        terms = rng.choice(words, 60, replace=False) + 10
+        if k % 2:
+            terms = np.append(terms, rng.choice(10, 2, replace=False))
+        held.append((k, k % 2, np.sort(terms).astype(np.uint64), np.ones(len(terms), np.int64)))
+    number = np.arange(words + 10, dtype=np.uint64)
+    corpus = np.append(np.full(words + 10, 10), 100)
+    totals = {0: 40, 1: 40}
+    wrong = [toxicity.misjudged(held, number, corpus, totals, p) for p in toxicity.POWERS]
+    assert min(wrong[1:]) < wrong[0]
+    assert np.ptp(toxicity.made(held, number, corpus, totals).idf) > 0
+    apart = [(k, k % 2, np.arange(5, dtype=np.uint64) + 5 * (k % 2), np.ones(5, np.int64)) for k in range(n)]
+    number, corpus = np.arange(10, dtype=np.uint64), np.append(np.full(10, 10), 100)
+    assert toxicity.misjudged(apart, number, corpus, totals, 0.0) == 0
+    assert np.ptp(toxicity.made(apart, number, corpus, totals).idf) == 0
