@@ -10,7 +10,7 @@ from __future__ import annotations
 from corvane import fixed_values as fixed
 from corvane.functions import routing
 from corvane.plans import tables as given
-from corvane.plans.registry import GUARDED, LETTERS
+from corvane.plans.registry import DECLARED, GUARDED, LETTERS
 
 # The given tables' columns and types.
 COLUMNS = {
@@ -150,7 +150,7 @@ CATALOG = "catalog AS (" + " UNION ALL ".join(
 ) + ")"
 STORED = (
     "structured_data AS (SELECT event_id AS record_id, 'raw/json/' || event_type AS source_file, "
-    "'json' AS source_type FROM events), document_embeddings AS (SELECT * FROM idx)"
+    "'json' AS source_type, ts AS ingested_at, CAST(json(props) AS VARCHAR) AS raw_payload FROM events), document_embeddings AS (SELECT * FROM idx)"
 )
 
 
@@ -422,11 +422,15 @@ def _guarded(name: str, sql: str) -> str:
         "guarded_completeness": "dataset_name, CAST(present_count AS BIGINT) AS present_count, "
         "CAST(required_count AS BIGINT) AS required_count",
         "guarded_high_churn": f"{DATED}, source_file",
+        "guarded_by_source": "* REPLACE (strftime(ingested_at, '%Y-%m-%d %H:%M:%S.%f') AS ingested_at)",
     }.get(name, "*")
     return f"WITH {DOCS}, {INDEX}, {METRICS}, {METADATA}, {STORED} SELECT {columns} FROM ({_result(sql)}) t"
 
 
 ORACLES.update({name: _guarded(name, sql) for name, sql in GUARDED.items()})
+ORACLES.update({
+    name: f"WITH RECURSIVE {CHUNKS}, {INDEX}, {METRICS}, {METADATA}, {STORED} {sql}" for name, (_, sql) in DECLARED.items()
+})
 ORACLES["stream_uploads"] = """
 SELECT 'raw/csv/event_type=' || event_type || '/' AS folder, 'csv' AS source_type, event_type AS dataset,
   CAST(event_id AS BIGINT) AS record_id, event_type AS source_system, CAST(NULL AS BIGINT) AS conv_id,

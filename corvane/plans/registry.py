@@ -266,10 +266,22 @@ def guard_audit(spark, sf_dir):
     )
 
 
+def shown(df: DataFrame) -> DataFrame:
+    """Variants and times as texts."""
+    def column(field: T.StructField) -> Column:
+        value = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, T.VariantType):
+            return F.to_json(value).alias(field.name)
+        if isinstance(field.dataType, T.TimestampType):
+            return F.date_format(value, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(field.name)
+        return value
+
+    return df.select(*map(column, df.schema))
+
+
 def _guarded(sql: str) -> Query:
     def plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-        given.register_warehouse(spark, sf_dir)
-        return flat(warehouse.run_guarded(spark, sql))
+        return flat(shown(warehouse.run_guarded(given.open_warehouse(spark, sf_dir), sql)))
 
     return plan
 
@@ -286,13 +298,37 @@ GUARDED = {
 }
 QUERIES.update({name: _guarded(sql) for name, sql in GUARDED.items()})
 
+# Statements over the declared columns of the warehouse, each with the same in the SQL that checks it.
+DECLARED = {
+    "guarded_payload": (
+        "SELECT source_file, CAST(variant_get(raw_payload, '$.k', 'bigint') AS BIGINT) AS k, COUNT(*) AS n, "
+        "MAX(CAST(ingested_at AS DATE)) AS last_day FROM structured_data WHERE raw_payload IS NOT NULL GROUP BY 1, 2",
+        "SELECT source_file, CAST(raw_payload ->> '$.k' AS BIGINT) AS k, COUNT(*) AS n, "
+        "CAST(MAX(CAST(ingested_at AS DATE)) AS VARCHAR) AS last_day FROM structured_data "
+        "WHERE raw_payload IS NOT NULL GROUP BY 1, 2",
+    ),
+    "guarded_embeddings": (
+        "SELECT chunk_id, s3_key, chunk_text, SIZE(embedding_vector) AS dims, "
+        "ROUND(AGGREGATE(embedding_vector, 0D, (s, x) -> s + CAST(x AS DOUBLE) * x), 4) AS squares "
+        "FROM document_embeddings WHERE loaded_at IS NOT NULL AND opensearch_doc_id IS NULL",
+        "SELECT sha256(i.s3_key || '#0') AS chunk_id, i.s3_key, c.chunk_text, CAST(len(i.embedding) AS INT) AS dims, "
+        "round(list_sum(list_transform(i.embedding, lambda x: CAST(x AS DOUBLE) * x)), 4) AS squares "
+        "FROM document_embeddings i JOIN chunks c ON c.s3_key = i.s3_key AND c.chunk_index = 0",
+    ),
+    "guarded_sync": (
+        "SELECT dataset_name, COUNT(catalog_synced_at) AS synced, MIN(catalog_synced_at) <= NOW() AS in_the_past "
+        "FROM glue_catalog_metadata GROUP BY dataset_name",
+        "SELECT dataset_name, COUNT(*) AS synced, TRUE AS in_the_past FROM glue_catalog_metadata GROUP BY dataset_name",
+    ),
+}
+QUERIES.update({name: _guarded(sql) for name, (sql, _) in DECLARED.items()})
+
 
 # Answers.
 
 
 def _facts(spark, sf_dir) -> DataFrame:
-    given.register_warehouse(spark, sf_dir)
-    return answers.facts(spark, answers.asked_statements(given.questions(spark, sf_dir)))
+    return answers.facts(given.open_warehouse(spark, sf_dir), answers.asked_statements(given.questions(spark, sf_dir)))
 
 
 @query

@@ -13,12 +13,16 @@ from functools import partial, reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corvane.functions.keys import chunk_key
 from corvane.operators.audit import column_catalog, required_field_audit
+from corvane.operators.chunking import chunk_text_at
 from corvane.operators.knn import dimension
 from corvane.operators.metrics import customer_metrics
+from corvane.schemas import table_schema
 from corvane.session import fresh_path, side_by_side
 from corvane.sinks.tables import calls_from_texts
 from corvane.sources.files import spread
+from corvane.sources.warehouse import own_session
 
 TABLE_NAMES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -216,25 +220,53 @@ def uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def register_warehouse(spark: SparkSession, sf_dir: str) -> None:
-    """The warehouse tables as views, for guarded statements.
+def open_warehouse(spark: SparkSession, sf_dir: str) -> SparkSession:
+    """A session of its own with the warehouse tables, as declared, for guarded statements.
 
-    The two small ones, a row per date and a row per audited field, are loaded
-    into the shared folder first, as the structured path would have done.
+    The two small ones, a row per date and a row per audited field, are loaded into
+    the shared folder first, as the structured path would have done. The others are
+    views: a statement computes the columns that it names. The caller's session sees none of them.
     """
+    own = own_session(spark)
+
     def load(name: str, build: Callable[[SparkSession, str], DataFrame]) -> None:
-        df, path = build(spark, sf_dir), fresh_path(spark, name)
+        df, path = build(own, sf_dir), fresh_path(own, name)
         df.write.parquet(path)
-        spark.read.schema(df.schema).parquet(path).createOrReplaceTempView(name)
+        own.read.schema(df.schema).parquet(path).createOrReplaceTempView(name)
 
     side_by_side(
-        spark,
-        [partial(load, "customer_metrics", metrics), partial(load, "glue_catalog_metadata", metadata)],
+        own,
+        [partial(load, "customer_metrics", metrics), partial(load, "glue_catalog_metadata", synced_metadata)],
     )
-    vector_index(spark, sf_dir).createOrReplaceTempView("document_embeddings")
-    rows = table(spark, sf_dir, "events")
-    rows.select(
+    document_embeddings(own, sf_dir).createOrReplaceTempView("document_embeddings")
+    structured_data(own, sf_dir).createOrReplaceTempView("structured_data")
+    return own
+
+
+def synced_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    synced = metadata(spark, sf_dir).withColumn("catalog_synced_at", F.current_timestamp())
+    return synced.select(*table_schema("glue_catalog_metadata").fieldNames())
+
+
+def document_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The given vectors with their chunk's text, as the warehouse declares them."""
+    chunks = vector_index(spark, sf_dir).join(documents(spark, sf_dir).select("document_id", "text"), "document_id")
+    made = {
+        "chunk_id": chunk_key(F.col("s3_key"), F.col("chunk_index")),
+        "embedding_vector": F.col("embedding").cast("array<float>"),
+        "opensearch_doc_id": F.lit(None).cast("string"),
+        "loaded_at": F.current_timestamp(),
+    }
+    names = table_schema("document_embeddings").fieldNames()
+    return chunk_text_at(chunks).select(*(made.get(c, F.col(c)).alias(c) for c in names))
+
+
+def structured_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as rows of an upload, with what they carry as a variant."""
+    return table(spark, sf_dir, "events").select(
         F.col("event_id").alias("record_id"),
         F.concat(F.lit("raw/json/"), "event_type").alias("source_file"),
         F.lit("json").alias("source_type"),
-    ).createOrReplaceTempView("structured_data")
+        F.col("ts").cast("timestamp").alias("ingested_at"),
+        F.try_parse_json("props").alias("raw_payload"),
+    )

@@ -12,7 +12,8 @@ from corvane import fixed_values as fixed
 from corvane.functions import costs, guard, keys, prompts, routing, vectors
 from corvane.operators import audit, embedding, etl, metrics
 from corvane.operators import costs as cost_plans
-from corvane.plans.tables import GUARD_CASES
+from corvane.plans.tables import GUARD_CASES, open_warehouse
+from corvane.schemas import table_schema
 from corvane.sources.warehouse import RefusedStatement, run_guarded
 
 
@@ -40,6 +41,48 @@ def test_guarded_read(spark):
         run_guarded(spark, "DROP TABLE five")
 
 
+def test_the_plan_of_a_statement_is_guarded(spark, tmp_path):
+    spark.range(5).createOrReplaceTempView("five")
+    file = str(tmp_path / "f")
+    spark.range(3).write.parquet(file)
+    spark.udf.register("own_code", lambda: 1)
+    for sql in (
+        f"SELECT * FROM parquet.`{file}`",
+        f"SELECT (SELECT max(id) FROM parquet.`{file}`) AS m FROM five",
+        f"SELECT id FROM five WHERE id IN (SELECT id FROM parquet.`{file}`)",
+        f"SELECT * FROM (WITH a AS (SELECT * FROM parquet.`{file}`) SELECT * FROM a)",
+        "SELECT * FROM IDENTIFIER('fi' || 've')",
+        "SELECT reflect('java.lang.System', 'getProperty', 'user.home') AS h",
+        "SELECT transform(array(1), x -> java_method('java.lang.System', 'nanoTime')) AS h",
+        "SELECT IDENTIFIER('refl' || 'ect')('java.lang.System', 'nanoTime') AS h",
+        "SELECT own_code() AS h",
+        "SELECT * FROM range(5)",
+        "SELECT TRANSFORM(id) USING 'cat' AS (b) FROM five",
+        "SELECT * FROM unknown_table",
+        "SELECT * FROM a.b.five",
+    ):
+        with pytest.raises(RefusedStatement, match="Refusing to execute query: Blocked"):
+            run_guarded(spark, sql)
+    joined = "SELECT f.id, count(*) OVER (PARTITION BY f.id) AS n FROM five f JOIN (SELECT id FROM `five` WHERE id > 2) g ON f.id = g.id"
+    assert sorted(tuple(r) for r in run_guarded(spark, joined).collect()) == [(3, 1), (4, 1)]
+    assert run_guarded(spark, "SELECT t.x FROM five LATERAL VIEW explode(array(1, 2)) t AS x").count() == 10
+
+
+def test_the_warehouse_has_a_session_of_its_own(spark):
+    spark.range(7).createOrReplaceTempView("customer_metrics")
+    own = open_warehouse(spark, "/root/testdata/sf0.001")
+    for name in ("document_embeddings", "structured_data", "customer_metrics", "glue_catalog_metadata"):
+        declared = table_schema(name)
+        found = own.table(name).schema
+        assert found.fieldNames() == declared.fieldNames()
+        keys = ("record_id", "document_id")
+        assert [f.dataType for f in found if f.name not in keys] == [f.dataType for f in declared if f.name not in keys], name
+    assert spark.table("customer_metrics").count() == 7
+    assert {v.name for v in spark.catalog.listTables()}.isdisjoint({"structured_data", "glue_catalog_metadata"})
+    spark.catalog.dropTempView("customer_metrics")
+    assert own.conf.get("spark.sql.shuffle.partitions") == spark.conf.get("spark.sql.shuffle.partitions")
+
+
 def test_routes(spark):
     replies = ["BOTH", "Opensearch.", "**REDSHIFT**", "not both", "?", "REDSHIFT or OPENSEARCH", "red shift"]
     expected = ["both", "opensearch", "redshift", "both", "both", "opensearch", "redshift"]
