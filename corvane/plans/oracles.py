@@ -441,3 +441,21 @@ SELECT 'raw/json/role=' || role || '/', 'json', role, NULL, NULL, CAST(conv_id A
   CAST(length(text) AS INT)
 FROM conversations
 """
+LINES = """lines AS (
+  SELECT 'rows' AS d, to_json({'key': event_id, 'value': value}) AS j FROM events
+  UNION ALL SELECT 'rows', to_json({'key': conv_id, 'value': text}) FROM conversations
+  UNION ALL SELECT 'props', CAST(props AS JSON) FROM events WHERE json_valid(props))"""
+ORACLES["merged_schema"] = f"""
+WITH {LINES}, keys AS (SELECT d, j, unnest(json_keys(j)) AS k FROM lines),
+types AS (SELECT d, k, json_type(j, '$.' || k) AS t FROM keys)
+SELECT d AS dataset_name, k AS column_name,
+  CASE WHEN bool_and(t IN ('BIGINT', 'UBIGINT')) THEN 'bigint'
+    WHEN bool_and(t IN ('BIGINT', 'UBIGINT', 'DOUBLE')) THEN 'double' ELSE 'string' END AS data_type,
+  CAST(count(*) AS BIGINT) AS occurrences
+FROM types WHERE t <> 'NULL' GROUP BY d, k
+"""
+ORACLES["unparsed_records"] = """
+SELECT * FROM (
+  SELECT 'texts' AS dataset_name, CAST(count(text) AS BIGINT) AS occurrences FROM conversations
+  UNION ALL SELECT 'props', CAST(count(*) AS BIGINT) FROM events WHERE NOT json_valid(props)) t WHERE occurrences > 0
+"""

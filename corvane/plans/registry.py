@@ -279,6 +279,30 @@ def shown(df: DataFrame) -> DataFrame:
     return df.select(*map(column, df.schema))
 
 
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of two tables as JSON lines of one dataset, properties of events, and texts that are no JSON."""
+    events, turns = given.table(spark, sf_dir, "events"), given.table(spark, sf_dir, "conversations")
+
+    def lines(df: DataFrame, name: str, line: Column) -> DataFrame:
+        return df.select(F.lit(name).alias("dataset"), line.alias("line"))
+
+    keyed = lines(events, "rows", F.to_json(F.struct(F.col("event_id").alias("key"), "value")))
+    said = lines(turns, "rows", F.to_json(F.struct(F.col("conv_id").alias("key"), F.col("text").alias("value"))))
+    held = lines(events, "props", F.col("props"))
+    return keyed.unionByName(said).unionByName(held).unionByName(lines(turns, "texts", F.concat(F.lit("said "), "text")))
+
+
+@query
+def merged_schema(spark, sf_dir):
+    return catalog.merged_schema(catalog.discover_json_schema(_lines(spark, sf_dir), "dataset", "line"))
+
+
+@query
+def unparsed_records(spark, sf_dir):
+    found = catalog.discover_json_schema(_lines(spark, sf_dir), "dataset", "line")
+    return found.filter(F.col("data_type") == catalog.UNPARSED).select("dataset_name", "occurrences")
+
+
 def _guarded(sql: str) -> Query:
     def plan(spark: SparkSession, sf_dir: str) -> DataFrame:
         return flat(shown(warehouse.run_guarded(given.open_warehouse(spark, sf_dir), sql)))

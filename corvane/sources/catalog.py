@@ -63,20 +63,59 @@ def _type_text(value: Column) -> Column:
     return text
 
 
+#: The type of what does not parse, in a row without a column name.
+UNPARSED = "unparsed"
+
+
 def discover_json_schema(records: DataFrame, dataset: str, column: str) -> DataFrame:
     """Fields and types that occur in a column of JSON objects, with their counts.
 
     Every object is read; counts combine before the shuffle, which carries one
-    row per dataset, field and type.
+    row per dataset, field and type. Texts that do not parse, or are no objects, are
+    counted under the type ``UNPARSED`` without a column name; nulls are not records.
     """
-    fields = records.select(
+    fields = records.filter(F.col(column).isNotNull()).select(
         F.col(dataset).alias("dataset_name"),
         F.try_parse_json(F.col(column)).alias("v"),
-    ).lateralJoin(
-        records.sparkSession.tvf.variant_explode(F.col("v").outer())
     )
-    return fields.groupBy(
-        "dataset_name",
-        F.col("key").alias("column_name"),
-        _type_text(F.col("value")).alias("data_type"),
-    ).agg(F.count(F.lit(1)).alias("occurrences"))
+    is_object = F.coalesce(F.schema_of_variant("v").startswith("OBJECT"), F.lit(False))
+    fields = fields.withColumn("v", F.when(is_object, F.col("v"))).withColumn("bad", ~is_object)
+    fields = fields.lateralJoin(records.sparkSession.tvf.variant_explode_outer(F.col("v").outer()))
+    found = F.when(F.col("bad"), F.lit(UNPARSED)).otherwise(_type_text(F.col("value")))
+    return (
+        fields.filter("bad or key is not null")
+        .groupBy("dataset_name", F.col("key").alias("column_name"), found.alias("data_type"))
+        .agg(F.count(F.lit(1)).alias("occurrences"))
+    )
+
+
+def merged_schema(discovered: DataFrame) -> DataFrame:
+    """One type per field of ``discover_json_schema``: the least that holds every value found.
+
+    void is below all types; whole numbers are below double, which also takes decimals; arrays of different
+    elements are arrays of variants, objects of different fields a variant, all else is string. The rows are
+    few; every test of a field's types is an aggregate that combines before the shuffle.
+    """
+    kind = F.col("data_type")
+    known = kind != "void"
+    number = kind.isin("bigint", "double", "float") | kind.startswith("decimal")
+
+    def all_are(test: Column) -> Column:
+        return F.coalesce(F.bool_and(F.when(known, test)), F.lit(False))
+
+    one = F.min(F.when(known, kind)).alias("least"), F.max(F.when(known, kind)).alias("most")
+    tests = {"numbers": number, "arrays": kind.startswith("array<"), "objects": kind.startswith("object<")}
+    grouped = discovered.filter(kind != UNPARSED).groupBy("dataset_name", "column_name").agg(
+        *one, *(all_are(t).alias(n) for n, t in tests.items()),
+        all_are(kind == "bigint").alias("whole"), F.sum("occurrences").alias("occurrences"),
+    )
+    merged = (
+        F.when(F.col("most").isNull(), "void")
+        .when(F.col("whole"), "bigint")
+        .when(F.col("numbers"), "double")
+        .when(F.col("least") == F.col("most"), F.col("most"))
+        .when(F.col("arrays"), "array<variant>")
+        .when(F.col("objects"), "variant")
+        .otherwise("string")
+    )
+    return grouped.select("dataset_name", "column_name", merged.alias("data_type"), "occurrences")

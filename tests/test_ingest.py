@@ -354,11 +354,29 @@ def test_discovery(spark, database, tmp_path):
 def test_discovered_json_fields(spark):
     df = spark.createDataFrame([("d", '{"a": 1, "b": [1]}'), ("d", '{"a": "x"}'), ("d", "bad"), ("d", None)], "ds string, js string")
     rows = {tuple(r) for r in catalog.discover_json_schema(df, "ds", "js").collect()}
-    assert rows == {("d", "a", "bigint", 1), ("d", "a", "string", 1), ("d", "b", "array<bigint>", 1)}
+    assert rows == {
+        ("d", "a", "bigint", 1), ("d", "a", "string", 1), ("d", "b", "array<bigint>", 1), ("d", None, "unparsed", 1)
+    }
     nested = spark.createDataFrame([("d", '{"p": {"Zip": 1, "DOUBLE": ["x"]}}')], "ds string, js string")
     assert catalog.discover_json_schema(nested, "ds", "js").first().data_type == "object<DOUBLE: array<string>, Zip: bigint>"
 
 
+def test_types_of_a_field_are_merged(spark):
+    lines = [
+        '{"n": 1, "m": 1, "t": true, "a": [1], "o": {"p": 1}, "z": null, "same": {"q": "x"}}',
+        '{"n": 2.5, "m": 2, "t": null, "a": ["x"], "o": {"r": 1}, "z": null, "same": {"q": "y"}}',
+        '{"n": 1e300, "m": "x", "e": {}}', '[1, 2]', '3', "{", "", "{}", None,
+    ]
+    df = spark.createDataFrame([("d", x) for x in lines] + [("empty", None)], "ds string, js string")
+    found = catalog.discover_json_schema(df, "ds", "js")
+    assert [(r.dataset_name, r.column_name, r.occurrences) for r in found.filter("data_type = 'unparsed'").collect()] == [("d", None, 4)]
+    merged = {r.column_name: (r.data_type, r.occurrences) for r in catalog.merged_schema(found).collect()}
+    assert merged == {
+        "n": ("double", 3), "m": ("string", 3), "t": ("boolean", 2), "a": ("array<variant>", 2), "o": ("variant", 2),
+        "z": ("void", 2), "same": ("object<q: string>", 2), "e": ("object<>", 1),
+    }
+
+
 def test_csv_inference(spark, tmp_path):
     (tmp_path / "x.csv").write_text("a,b\n1,x\n")
     assert files.scan_csv(spark, str(tmp_path)).dtypes == [("a", "int"), ("b", "string")]
