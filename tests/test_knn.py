@@ -70,6 +70,15 @@ def test_large_question_sets_go_by_blocks(data, monkeypatch):
     assert found(hits) == brute_force(rows, asked, 3)
 
 
+def test_blocks_move_no_rows(data, monkeypatch):
+    """The index is read where it is stored: it is not copied for each block of questions."""
+    index, questions, rows, asked = data
+    monkeypatch.setattr(knn, "QUESTIONS_PER_BLOCK", 5)
+    hits = knn.blocked_topk(questions, index, 5, DIM)
+    assert "embedding" not in hits._jdf.queryExecution().toString()
+    assert found(hits) == brute_force(rows, asked, 5)
+
+
 def test_approximate_recall(data):
     index, questions, rows, asked = data
     hits = found(ann.approximate_topk(questions, index, 5, dim=DIM))
