@@ -1,8 +1,12 @@
 """Exact and approximate retrieval against brute force."""
 
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
 import pytest
 
+from corvane.functions import blocks as bl
 from corvane.operators import ann, knn
 
 DIM = 8
@@ -79,6 +83,21 @@ def test_blocks_move_no_rows(data, monkeypatch):
     assert found(hits) == brute_force(rows, asked, 5)
 
 
+def test_scoring_holds_little_at_once():
+    rng = np.random.default_rng(3)
+    rows = pa.table({
+        "s3_key": [f"k{i}" for i in range(2000)],
+        "chunk_index": pa.array([0] * 2000, pa.int32()),
+        "embedding": pa.array(rng.normal(size=(2000, DIM)).tolist(), pa.list_(pa.float32())),
+    })
+    best = bl.BestHits(rng.normal(size=(20_000, DIM)), 5)
+    tracemalloc.start()
+    best.add(rows)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 50 << 20
+
+
 def test_approximate_recall(data):
     index, questions, rows, asked = data
     hits = found(ann.approximate_topk(questions, index, 5, dim=DIM))
