@@ -111,6 +111,29 @@ def test_approximate_recall(data):
     assert all(sorted(r) == list(range(1, len(r) + 1)) and len(r) <= 5 for r in ranks.values())
 
 
+def test_pairs_are_counted_not_written(data, monkeypatch):
+    """Meetings give k hits and a count for each question and bucket; the counts are those of the distinct pairs."""
+    index, questions, rows, asked = data
+    k = 2
+    whole = found(ann.approximate_topk(questions, index, k, dim=DIM))
+    monkeypatch.setattr(ann, "ROWS_PER_MEETING", 40)
+    monkeypatch.setattr(ann, "ROWS_AT_ONCE", 16)
+    monkeypatch.setattr(ann, "QUESTION_BYTES", 8 * DIM * 7)
+    met = ann.meetings(questions, index, k, dim=DIM).cache()
+    shape = (DIM, ann.TABLES, ann.FUNCTIONS, ann.WIDTH)
+    first, copies = set(), {}
+    for key, c, v in sorted(rows):
+        copies[tuple(v)] = copies.get(tuple(v), 0) + 1
+        if copies[tuple(v)] <= k:
+            first.add((key, c))
+    held = ann._buckets(knn._usable_index(index, DIM), "embedding", *shape).select("s3_key", "chunk_index", "bucket")
+    met_by = ann._buckets(knn._usable_questions(questions, DIM), "vector", *shape).select("question_id", "bucket")
+    pairs = {(r[0], r[1], r[2]) for r in met_by.join(held, "bucket").drop("bucket").distinct().collect()}
+    pairs = [p for p in pairs if (p[1], p[2]) in first]
+    assert met.agg({"met": "sum"}).first()[0] == len(pairs)
+    assert found(ann.best_met(met, k)) == whole
+
+
 @pytest.mark.parametrize("folder", ["/root/testdata/sf0.1"])
 def test_recall_on_the_given_vectors(spark, folder):
     from corvane.plans.registry import QUERIES
