@@ -282,6 +282,33 @@ def test_a_load_reads_its_input_once(spark, tmp_path):
     assert seen.value == 50
 
 
+def test_a_batch_goes_through_its_texts_once(spark, store):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def touched(x):
+        seen.add(1)
+        return x
+
+    rows = spark.createDataFrame([(f"k{k}", "b", "One. Two." if k else " ") for k in range(20)], "s3_key string, source_bucket string, text string")
+    rows = rows.withColumn("text", touched.asNondeterministic()("text"))
+    assert ingest.ingest_documents(rows, store, txn="a") == 0
+    assert ingest.ingest_documents(rows, store, txn="a") is None
+    assert seen.value == 20
+    assert store.documents(spark).count() == 20 and store.chunks(spark).count() == 19
+
+
+def test_the_newest_version_is_read_without_a_join(spark, store):
+    rows = spark.createDataFrame([("k1", "b", "One."), ("k2", "b", "Two.")], "s3_key string, source_bucket string, text string")
+    ingest.ingest_documents(rows, store)
+    ingest.ingest_documents(rows.filter("s3_key = 'k2'").withColumn("text", F.lit(" ")), store)
+    assert [r.s3_key for r in store.chunks(spark).collect()] == ["k1"]
+    store.compact(spark)
+    chunks = store.chunks(spark)
+    assert "Join" not in chunks._jdf.queryExecution().toString()
+    assert [(r.s3_key, r.chunk_text) for r in chunks.collect()] == [("k1", "One.")]
+
+
 def test_repeated_batch_replaces_itself(spark, tmp_path):
     rows = spark.createDataFrame([("1", "x")], "record_id string, source_system string")
     for _ in range(2):
