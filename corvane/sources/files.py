@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +15,7 @@ from corvane.session import side_by_side
 UPLOAD_EVENT = (
     "Records array<struct<s3: struct<bucket: struct<name: string>, object: struct<key: string>>>>"
 )
+UPLOAD = "path string, modificationTime timestamp, length bigint, content binary"
 EXTRACTION = "Blocks array<struct<BlockType: string, Text: string>>"
 
 
@@ -42,16 +44,25 @@ def scan_documents(
 def scan_uploads(
     spark: SparkSession, folder: str, *, stream: bool = False, per_batch: int | None = None
 ) -> DataFrame:
-    """Uploads of every kind below a folder, as ``scan_documents`` gives them. Contents not asked for are not read."""
+    """Uploads of every kind below a folder, as ``scan_documents`` gives them. Contents not asked for are not read;
+    a stream's batch has all of its columns read, so ask before it starts."""
     return (
         _reader(spark, stream, per_batch)
         .format("binaryFile")
-        .schema("path string, modificationTime timestamp, length bigint, content binary")
+        .schema(UPLOAD)
         .option("recursiveFileLookup", "true")
         .load(folder)
     )
 
 
+def read_contents(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The named files alone, as ``scan_uploads`` gives them."""
+    if not paths:
+        return spark.createDataFrame([], UPLOAD)
+    literal = [re.sub(r"([{}\[\]*?\\])", r"\\\1", path) for path in paths]  # names are no patterns
+    return spark.read.format("binaryFile").schema(UPLOAD).option("recursiveFileLookup", "true").load(literal)
+
+
 #: Holds the path of the file a row comes from, until the row is packed.
 SOURCE = "_source_file"
 

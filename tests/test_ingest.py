@@ -256,6 +256,18 @@ def test_one_stream_takes_every_kind(spark, tmp_path, store):
     assert stored() == sorted([*want, ("sales", "raw/csv/sales/3.csv", 4, None, None, None, None, None)], key=str)
 
 
+def test_bytes_of_documents_alone_are_read(spark, tmp_path, store):
+    folder, root = tmp_path / "in", str(tmp_path / "w")
+    put(folder, "csv/sales/1.csv", "record_id\n1\n")
+    put_pdf(folder, "d [1]*.pdf", "One.")
+    uploads = files.scan_uploads(spark, str(folder), stream=True)
+    touched = F.when(F.col("path").endswith(".csv"), F.raise_error(F.lit("read whole")).cast("binary"))
+    uploads = uploads.withColumn("content", touched.otherwise(F.col("content")))
+    ingest.upload_stream(uploads, store, root, f"{tmp_path}/checkpoint", **LIMITS).awaitTermination()
+    assert spark.read.parquet(f"{root}/structured_data").count() == 1
+    assert stored_chunks(spark, store) == [("raw/pdf/d [1]*.pdf", 0, "One.")]
+
+
 def test_a_repeated_batch_of_uploads_changes_nothing(spark, tmp_path, store):
     folder, root = tmp_path / "in", str(tmp_path / "w")
     put(folder, "csv/sales/1.csv", "record_id\n1\n")
