@@ -138,3 +138,15 @@ def test_the_power_is_chosen_on_the_examples():
     number, corpus = np.arange(10, dtype=np.uint64), np.append(np.full(10, 10), 100)
     assert toxicity.misjudged(apart, number, corpus, totals, 0.0) == 0
     assert np.ptp(toxicity.made(apart, number, corpus, totals).idf) == 0
+
+
+def test_the_search_moves_postings_in_rows_and_sums_only_common_terms_again(spark, model, monkeypatch):
+    rows = spark.read.parquet(f"{SF}/documents.parquet").filter("text is not null").select("text").orderBy("doc_id").limit(200)
+    given = list(dict.fromkeys(r.text for r in rows.collect()))
+    held = np.where(model.common < 0, np.bincount(model.term, minlength=len(model.terms)), 0)
+    moved, real = [], toxicity.ranges
+    monkeypatch.setattr(toxicity, "ranges", lambda begin, size: moved.append(int(size.sum())) or real(begin, size))
+    judged = model.judge_all(given)
+    single = sum(int(held[terms].sum()) for terms, _ in model.vectors(given))
+    single += sum(int(model.sizes[model.place[k]]) for _, evidence in judged for k, _ in evidence)
+    assert sum(moved) < 0.6 * single
