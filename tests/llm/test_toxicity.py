@@ -150,3 +150,13 @@ def test_the_search_moves_postings_in_rows_and_sums_only_common_terms_again(spar
     single = sum(int(held[terms].sum()) for terms, _ in model.vectors(given))
     single += sum(int(model.sizes[model.place[k]]) for _, evidence in judged for k, _ in evidence)
     assert sum(moved) < 0.6 * single
+
+
+def test_known_hashes_are_found_where_they_stand():
+    rng = np.random.default_rng(5)
+    crowded = np.arange(300, dtype=np.uint64) + np.uint64(7 << 40)
+    for hashes in (np.zeros(0, np.uint64), np.array([2**64 - 1], np.uint64), rng.integers(0, 2**64, 5000, np.uint64), crowded):
+        hashes = np.unique(hashes)
+        asked = np.concatenate([hashes, hashes + np.uint64(1), np.array([0, 2**64 - 1], np.uint64), rng.integers(0, 2**64, 50, np.uint64)])
+        want = {h: k for k, h in enumerate(hashes.tolist())}
+        assert toxicity.Known(hashes).places(asked).tolist() == [want.get(h, -1) for h in asked.tolist()]
