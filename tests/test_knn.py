@@ -98,6 +98,54 @@ def test_scoring_holds_little_at_once():
     assert peak < 50 << 20
 
 
+def test_pairs_are_scored_in_double_only_if_they_may_count(monkeypatch):
+    """Near ties beyond single precision are ordered as in double; a row with an infinity has no score."""
+    rng = np.random.default_rng(11)
+    near = np.float32(rng.normal(size=DIM))[None] + np.float32(1e-7 * rng.normal(size=(300, DIM)))
+    vectors = np.concatenate([np.float32(rng.normal(size=(5000, DIM))), near]).astype(np.float32)
+    vectors = vectors[rng.permutation(len(vectors))]
+    rows = [(f"k{i:05d}", 0, v.tolist()) for i, v in enumerate(vectors)]
+    asked = [(i, v.tolist()) for i, v in enumerate(np.float32(np.concatenate([rng.normal(size=(200, DIM)), near[:5]])))]
+    counted, exact = [], bl.BestHits._exact
+    monkeypatch.setattr(bl.BestHits, "_exact", lambda self, q, row, units: counted.append(len(q)) or exact(self, q, row, units))
+    best = bl.BestHits(bl.unit_matrix(pa.array([v for _, v in asked]), DIM), 5)
+    for at in range(0, len(rows), 1300):
+        some = [*rows[at : at + 1300], ("endless", at, [float("inf")] * DIM)]
+        best.add(pa.table({
+            "s3_key": [r[0] for r in some],
+            "chunk_index": pa.array([r[1] for r in some], pa.int32()),
+            "embedding": pa.array([r[2] for r in some], pa.list_(pa.float32())),
+        }))
+    hits = best.result(pa.array([q for q, _ in asked])).to_pylist()
+    expected = {(q, key, c, score) for q, _, key, c, score in brute_force(rows, asked, 5)}
+    assert {(h["question_id"], h["s3_key"], h["chunk_index"], round(h["score"], 6)) for h in hits} == expected
+    assert sum(counted) < len(rows) * len(asked) / 20
+
+
+def test_small_files_are_read_together(spark, tmp_path):
+    rows = spark.range(100).selectExpr("concat('k', id) s3_key", "0 chunk_index", "array(1f, cast(id as float)) embedding")
+    rows.repartition(20).write.parquet(str(tmp_path / "a"))
+    rows.repartition(3).write.parquet(str(tmp_path / "b"))
+    folders = [str(tmp_path / name) for name in ("a", "none", "b")]
+    held = list(bl.stored_rows(folders, 64))
+    assert [len(x) for x in held] == [64, 64, 64, 8]
+    assert sorted(pa.concat_tables(held)["s3_key"].to_pylist()) == sorted(2 * [f"k{i}" for i in range(100)])
+
+
+def test_questions_per_task_grow_with_the_questions():
+    """A row is read and prepared once for a block of questions, so blocks are large where there are tasks enough."""
+    assert knn._dealing(0) == (1, 8) and knn._dealing(6_000) == (1, 8)
+    for n in (30_000, 300_000, 3_000_000):
+        askers, streams = knn._dealing(n)
+        assert 7_500 <= n / askers <= knn.QUESTIONS_PER_BLOCK and askers * streams <= max(knn.TASKS, askers)
+
+
+def test_vectors_are_checked_by_compiled_functions(data):
+    index, questions, *_ = data
+    plan = knn._usable_index(index, DIM)._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan
+
+
 def test_approximate_recall(data):
     index, questions, rows, asked = data
     hits = found(ann.approximate_topk(questions, index, 5, dim=DIM))
