@@ -122,6 +122,40 @@ def test_pairs_are_scored_in_double_only_if_they_may_count(monkeypatch):
     assert sum(counted) < len(rows) * len(asked) / 20
 
 
+@pytest.mark.parametrize("topics, spared", [(6, True), (0, False)])
+def test_rows_out_of_reach_are_not_scored(monkeypatch, topics, spared):
+    """Vectors of topics leave out those of others, vectors without give the bounds up; the hits are exact in both."""
+    monkeypatch.setattr(bl, "TRIED", 2_500)
+    rng, dim, k = np.random.default_rng(5), 96, 5
+
+    def some(n):
+        noise = rng.normal(size=(n, dim)) / dim**0.5
+        return np.float32(noise + 2 * centres[rng.integers(0, topics, n)] if topics else noise)
+
+    centres = np.linalg.qr(rng.normal(size=(dim, dim)))[0][: max(1, topics)]
+    vectors, asked = some(9_000), some(2_000)
+    asked[7] = np.inf
+    best = bl.BestHits(bl.unit_matrix(pa.array(asked.tolist(), pa.list_(pa.float32())), dim), k)
+    for at in range(0, len(vectors), 3_000):
+        best.add(pa.table({
+            "s3_key": [f"k{i:05d}" for i in range(at, at + 3_000)],
+            "chunk_index": pa.array([0] * 3_000, pa.int32()),
+            "embedding": pa.array(vectors[at : at + 3_000].tolist(), pa.list_(pa.float32())),
+        }))
+    units = [x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True) for x in (asked, vectors)]
+    scores = np.round(units[0] @ units[1].T, 9)
+    hits = best.result(pa.array(range(len(asked)))).to_pylist()
+    found = {}
+    for h in hits:
+        found.setdefault(h["question_id"], []).append((-h["score"], h["s3_key"]))
+    assert set(found) == set(range(len(asked))) - {7}
+    for q, got in found.items():
+        row = np.lexsort((np.arange(len(vectors)), -scores[q]))[:k]
+        assert [key for _, key in sorted(got)] == [f"k{i:05d}" for i in row]
+        assert np.allclose([-s for s, _ in sorted(got)], scores[q][row], atol=2e-9)
+    assert (best.reach is not None and best.reach.spared > best.reach.met / 2) == spared
+
+
 def test_small_files_are_read_together(spark, tmp_path):
     rows = spark.range(100).selectExpr("concat('k', id) s3_key", "0 chunk_index", "array(1f, cast(id as float)) embedding")
     rows.repartition(20).write.parquet(str(tmp_path / "a"))
